@@ -84,3 +84,16 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, steps: int = 60
 def apply_logistic(x: np.ndarray, model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
     mean, scale, w = model
     return 1 / (1 + np.exp(-np.clip(((x - mean) / scale) @ w[:-1] + w[-1], -35, 35)))
+
+
+def chunks(texts: list[str | None], max_chars: int = 1_500_000):
+    """(first index, texts) in order, of about max_chars each, so that Python objects stay few; a longer text is alone."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        n = len(t or "")
+        if size and size + n > max_chars:
+            yield start, texts[start:i]
+            start, size = i, 0
+        size += n + 1
+    if start < len(texts):
+        yield start, texts[start:]

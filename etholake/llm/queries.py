@@ -19,8 +19,23 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    docs = load(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.fit(docs, load(spark, sf_dir, "labels")))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import packing
+
+    return packing.pack_documents(load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op9_quality": op9_quality,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
