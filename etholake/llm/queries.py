@@ -32,8 +32,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import simhash
+
+    found = simhash.classes(simhash.with_fingerprints(load(spark, sf_dir, "documents"), k=4), radius=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op6_simhash": op6_simhash,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
 }
