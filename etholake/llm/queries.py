@@ -32,6 +32,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import mixing
+
+    return mixing.taken(load(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import simhash
 
@@ -41,6 +47,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
