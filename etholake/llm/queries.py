@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import chat, merkle
 from ._common import crc_mod, load
 
 
@@ -32,6 +33,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents"))
 
 
+def op3_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edits(load(spark, sf_dir, "documents"))
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digests(load(spark, sf_dir, "conversations"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import mixing
 
@@ -47,10 +56,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op3_merkle": op3_merkle,
+    "op4_chat": op4_chat,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_merkle": merkle.ORACLE_SQL, "op4_chat": chat.ORACLE_SQL}
