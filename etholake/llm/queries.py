@@ -33,6 +33,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents"))
 
 
+def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import suffixes
+
+    return suffixes.digests(load(spark, sf_dir, "documents"))
+
+
 def op3_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edits(load(spark, sf_dir, "documents"))
 
@@ -56,6 +62,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_suffixes": op2_suffixes,
     "op3_merkle": op3_merkle,
     "op4_chat": op4_chat,
     "op5_mixing": op5_mixing,
