@@ -20,6 +20,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import licences
+
+    docs = load(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.fit(docs))
+
+
 def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import mixinglm
 
@@ -73,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat": op4_chat,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
+    "op7_licences": op7_licences,
     "op8_lm": op8_lm,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
