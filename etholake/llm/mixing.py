@@ -19,7 +19,7 @@ WEIGHTS = (3, 1, 2)
 RATIO, CAP = 1.5, 2.0
 BLOCK_WORDS = 256
 #: Blocks that an output shard should hold; documents of a source that a task puts in line at a time.
-SHARD_BLOCKS, LINE_DOCS = 16_384, 20_000
+SHARD_BLOCKS, LINE_DOCS = 16_384, 2_000
 SEED = 17
 
 
@@ -149,7 +149,7 @@ def pieces(rows: DataFrame, goals: DataFrame, seed: int = SEED) -> DataFrame:
     cut = passes.withColumn("_block", F.explode(F.sequence(F.expr(f"_from div {BLOCK_WORDS}"), F.expr(f"(_to - 1) div {BLOCK_WORDS}"))))
     lo = F.greatest("_from", F.col("_block") * BLOCK_WORDS)
     hi = F.least("_to", (F.col("_block") + 1) * BLOCK_WORDS)
-    return cut.join(blocks, ["_key", "_block"]).select(
+    return cut.join(blocks.hint("merge"), ["_key", "_block"]).select(
         "_row", "pass", (lo - F.col("_from")).alias("from_word"), (hi - lo).alias("words"), "shard",
         F.struct(F.xxhash64(F.lit(seed + 1), "shard", "_key", "_block").alias("h"), "_key", "_block", lo.alias("at")).alias("_order"),
     )
