@@ -1,8 +1,9 @@
 """Operator 3: document fingerprints as Merkle trees over sections and paragraphs. DataFrame and SQL functions only.
 
-A text is cut at blank lines into sections, these at line ends into paragraphs, and these into runs of a few words. A
-node's hash is that of its children's hashes in order, so equal roots mean equal texts (every byte lies in one leaf),
-and where roots differ, the differing branches lead to the edit. Two fingerprints are as like as the leaves they share.
+A text is cut at blank lines into sections and these at line ends into paragraphs. A paragraph's hash is that of its
+text, any other node's that of its children's hashes in order, so equal roots mean equal texts, and where roots differ,
+the differing branches lead to the edited paragraphs. Below these, runs of a few words are the leaves: two fingerprints
+are as like as the leaves they share.
 """
 
 from __future__ import annotations
@@ -15,52 +16,49 @@ from ._common import n_shuffle
 LEAF_WORDS = 8
 
 
-def _leaves(paragraph: Column) -> Column:
-    """Hashes of the runs of LEAF_WORDS words, cut at single spaces: joined by spaces, they are the paragraph."""
-    words = F.split(paragraph, " ")
-    starts = F.sequence(F.lit(0), F.floor((F.size(words) - 1) / LEAF_WORDS).cast("int"))
-    return F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(words, i * LEAF_WORDS + 1, F.lit(LEAF_WORDS)), " ")))
+#: A run of up to LEAF_WORDS words of one line, without the space or line end behind it.
+_RUN = r"(?!\z)((?:[^ \n]*+ ){0,%d}+[^ \n]*+)(?:[ \n]|\z)" % (LEAF_WORDS - 1)
 
 
-def tree(text: Column) -> Column:
-    """Sections: array of struct(hash, paragraphs: array of struct(hash, leaves: array of long)). Null counts as empty."""
+def leaves(text: Column) -> Column:
+    """Hashes of the text's runs of LEAF_WORDS words, counted from each line's beginning, once each."""
+    runs = F.array_remove(F.regexp_extract_all(text, F.lit(_RUN), F.lit(1)), "")
+    return F.array_distinct(F.transform(runs, lambda r: F.xxhash64(r)))
 
-    def paragraph(p: Column) -> Column:
-        return F.struct(F.sha2(p, 256).alias("hash"), _leaves(p).alias("leaves"))
 
-    def section(s: Column) -> Column:
-        found = F.transform(F.split(s, "\n"), paragraph)
-        return F.struct(F.sha2(F.array_join(F.transform(found, lambda p: p["hash"]), ""), 256).alias("hash"), found.alias("paragraphs"))
+def paragraphs(text: Column) -> Column:
+    """Sections, as arrays of their paragraphs' hashes."""
+    return F.transform(F.split(text, "\n\n"), lambda s: F.transform(F.split(s, "\n"), lambda p: F.sha2(p, 256)))
 
-    return F.transform(F.split(F.coalesce(text, F.lit("")), "\n\n"), section)
 
-
-def root(tree: Column) -> Column:
-    """The fingerprint: lowercase hex hash of the sections' hashes."""
-    return F.sha2(F.array_join(F.transform(tree, lambda s: s["hash"]), ""), 256)
+def sections(paragraphs: Column) -> Column:
+    """The sections' hashes."""
+    return F.transform(paragraphs, lambda ps: F.sha2(F.array_join(ps, ""), 256))
 
 
-def leaves(tree: Column) -> Column:
-    """All leaf hashes, once each."""
-    return F.array_distinct(F.flatten(F.flatten(F.transform(tree, lambda s: F.transform(s["paragraphs"], lambda p: p["leaves"])))))
+def root(sections: Column) -> Column:
+    """The fingerprint: lowercase hex hash of the sections' hashes."""
+    return F.sha2(F.array_join(sections, ""), 256)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of leaves that two fingerprints have in common, of the larger's: 1 for the same leaves, 0 for none."""
-    return F.size(F.array_intersect(a, b)) / F.greatest(F.size(a), F.size(b))
+    """Share of leaves that two texts have in common, of the larger's: 1 for the same leaves (also none), 0 for none in common."""
+    most = F.greatest(F.size(a), F.size(b))
+    return F.when(most == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.greatest(most, F.lit(1)))
 
 
-def differing(a: Column, b: Column) -> Column:
-    """(section, paragraph) numbers of the branches that differ; only sections whose hashes differ are looked into."""
-    width = lambda x, i: F.coalesce(F.size(F.get(x, i)["paragraphs"]), F.lit(0))
-    sections = F.filter(F.sequence(F.lit(0), F.greatest(F.size(a), F.size(b)) - 1), lambda i: ~F.get(a, i)["hash"].eqNullSafe(F.get(b, i)["hash"]))
+def differing(a: Column, b: Column, ha: Column, hb: Column) -> Column:
+    """(section, paragraph) numbers of the branches that differ, from the paragraphs' and sections' hashes; only sections
+    whose hashes differ are looked into."""
+    odd = F.filter(F.sequence(F.lit(0), F.greatest(F.size(ha), F.size(hb)) - 1), lambda i: ~F.get(ha, i).eqNullSafe(F.get(hb, i)))
 
-    def within(i: Column) -> Column:
-        every = F.sequence(F.lit(0), F.greatest(width(a, i), width(b, i)) - 1)
-        odd = F.filter(every, lambda j: ~F.get(F.get(a, i)["paragraphs"], j)["hash"].eqNullSafe(F.get(F.get(b, i)["paragraphs"], j)["hash"]))
-        return F.transform(odd, lambda j: F.struct(i.alias("section"), j.alias("paragraph")))
+    def within(pair: Column, i: Column) -> Column:
+        x, y = pair["x"], pair["y"]
+        every = F.sequence(F.lit(0), F.greatest(F.size(x), F.size(y)) - 1)
+        return F.transform(F.filter(every, lambda j: ~F.get(x, j).eqNullSafe(F.get(y, j))), lambda j: F.struct(i.alias("section"), j.alias("paragraph")))
 
-    return F.flatten(F.transform(sections, within))
+    pairs = F.transform(odd, lambda i: F.struct(i.alias("i"), F.get(a, i).alias("x"), F.get(b, i).alias("y")))
+    return F.flatten(F.transform(pairs, lambda p: within(p, p["i"])))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -92,18 +90,27 @@ def edited(text: Column, other: Column) -> Column:
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint and tree of every row's whole text. A null text counts as empty; other columns are not read."""
-    return docs.select("doc_id", tree(F.col("text")).alias("tree")).withColumn("fingerprint", root(F.col("tree")))
+    """doc_id, fingerprint, paragraphs, sections and leaves of every row's whole text. A null text counts as empty; other
+    columns are not read."""
+    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
+    d = d.select("doc_id", paragraphs(F.col("t")).alias("paragraphs"), leaves(F.col("t")).alias("leaves"))
+    d = d.withColumn("sections", sections(F.col("paragraphs")))
+    return d.withColumn("fingerprint", root(F.col("sections")))
 
 
 def edits(docs: DataFrame) -> DataFrame:
     """For every row: its fingerprint, that of its edited text, how like it is to that and to the next row's, and the
     (section, paragraph) of the first and the number of all branches that the edit changed."""
     d = with_next(docs).withColumn("other", edited(F.col("text"), F.col("next_text")))
-    d = d.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("other", 256).alias("edited_sha256"), tree(F.col("text")).alias("a"), tree(F.col("other")).alias("b"), tree(F.col("next_text")).alias("c"))
-    d = d.withColumns({"la": leaves(F.col("a")), "lb": leaves(F.col("b")), "lc": leaves(F.col("c")), "odd": differing(F.col("a"), F.col("b"))})
+    d = d.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("other", 256).alias("edited_sha256"),
+        paragraphs(F.col("text")).alias("a"), paragraphs(F.col("other")).alias("b"),
+        leaves(F.col("text")).alias("la"), leaves(F.col("other")).alias("lb"), leaves(F.col("next_text")).alias("lc"),
+    )
+    d = d.withColumns({"ha": sections(F.col("a")), "hb": sections(F.col("b"))})
+    d = d.withColumn("odd", differing(F.col("a"), F.col("b"), F.col("ha"), F.col("hb")))
     return d.select(
-        "doc_id", "n_chars", "edited_sha256", root(F.col("a")).alias("fingerprint"), root(F.col("b")).alias("edited_fingerprint"),
+        "doc_id", "n_chars", "edited_sha256", root(F.col("ha")).alias("fingerprint"), root(F.col("hb")).alias("edited_fingerprint"),
         likeness(F.col("la"), F.col("lb")).alias("near_edited"), likeness(F.col("la"), F.col("lc")).alias("near_next"),
         F.get("odd", 0)["section"].alias("first_section"), F.get("odd", 0)["paragraph"].alias("first_paragraph"), F.size("odd").alias("n_branches"),
     )
@@ -120,15 +127,15 @@ x AS (SELECT *,
   list_transform(string_split(nxt, '\n\n'), lambda s: string_split(s, '\n')) AS c FROM e),
 h AS (SELECT *,
   list_transform(a, lambda s: list_transform(s, lambda p: sha256(p))) AS ha, list_transform(b, lambda s: list_transform(s, lambda p: sha256(p))) AS hb,
-  list_distinct(flatten(list_transform(flatten(a), lambda p: list_transform(range(0, (len(string_split(p, ' ')) - 1) // 8 + 1), lambda i: array_to_string(string_split(p, ' ')[i * 8 + 1 : i * 8 + 8], ' '))))) AS la,
-  list_distinct(flatten(list_transform(flatten(b), lambda p: list_transform(range(0, (len(string_split(p, ' ')) - 1) // 8 + 1), lambda i: array_to_string(string_split(p, ' ')[i * 8 + 1 : i * 8 + 8], ' '))))) AS lb,
-  list_distinct(flatten(list_transform(flatten(c), lambda p: list_transform(range(0, (len(string_split(p, ' ')) - 1) // 8 + 1), lambda i: array_to_string(string_split(p, ' ')[i * 8 + 1 : i * 8 + 8], ' '))))) AS lc FROM x),
+  list_filter(list_distinct(flatten(list_transform(flatten(a), lambda p: list_transform(range(0, (len(string_split(p, ' ')) - 1) // 8 + 1), lambda i: array_to_string(string_split(p, ' ')[i * 8 + 1 : i * 8 + 8], ' '))))), lambda x: x <> '') AS la,
+  list_filter(list_distinct(flatten(list_transform(flatten(b), lambda p: list_transform(range(0, (len(string_split(p, ' ')) - 1) // 8 + 1), lambda i: array_to_string(string_split(p, ' ')[i * 8 + 1 : i * 8 + 8], ' '))))), lambda x: x <> '') AS lb,
+  list_filter(list_distinct(flatten(list_transform(flatten(c), lambda p: list_transform(range(0, (len(string_split(p, ' ')) - 1) // 8 + 1), lambda i: array_to_string(string_split(p, ' ')[i * 8 + 1 : i * 8 + 8], ' '))))), lambda x: x <> '') AS lc FROM x),
 o AS (SELECT *, flatten(list_transform(range(0, greatest(len(ha), len(hb))), lambda i: list_transform(
   list_filter(range(0, greatest(coalesce(len(ha[i + 1]), 0), coalesce(len(hb[i + 1]), 0))), lambda j: ha[i + 1][j + 1] IS DISTINCT FROM hb[i + 1][j + 1]), lambda j: [i, j]))) AS odd FROM h)
 SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(other) AS edited_sha256,
   sha256(array_to_string(list_transform(ha, lambda s: sha256(array_to_string(s, ''))), '')) AS fingerprint,
   sha256(array_to_string(list_transform(hb, lambda s: sha256(array_to_string(s, ''))), '')) AS edited_fingerprint,
-  len(list_intersect(la, lb))::DOUBLE / greatest(len(la), len(lb)) AS near_edited,
-  len(list_intersect(la, lc))::DOUBLE / greatest(len(la), len(lc)) AS near_next,
+  CASE WHEN greatest(len(la), len(lb)) = 0 THEN 1 ELSE len(list_intersect(la, lb))::DOUBLE / greatest(len(la), len(lb)) END AS near_edited,
+  CASE WHEN greatest(len(la), len(lc)) = 0 THEN 1 ELSE len(list_intersect(la, lc))::DOUBLE / greatest(len(la), len(lc)) END AS near_next,
   odd[1][1]::INT AS first_section, odd[1][2]::INT AS first_paragraph, len(odd)::INT AS n_branches
 FROM o"""

@@ -33,7 +33,9 @@ MATCH, Q = 50, 16
 SPREAD = MATCH - Q
 HALF = SPREAD // 2
 GAP = 64
-CHUNK_BYTES, CHUNK_DOCS = 8 << 20, 60_000
+CHUNK_BYTES, CHUNK_DOCS = 3 << 20, 60_000
+#: Buckets of open anchors for each group of documents: what is refined at a time is small.
+FINER = 4
 #: Text that one group of documents should hold.
 PART_BYTES = 24 << 20
 NULL_ID = np.iinfo(np.int64).max
@@ -249,7 +251,7 @@ def _surroundings(docs: pa.Table, found: pa.Table, n: int) -> pa.Table:
     size = np.fromiter(map(len, pieces), dtype=np.uint32, count=len(pieces))
     start = np.maximum(place.astype(np.int64) - SPREAD, 0).astype("<u4")
     out = []
-    for b, i in _by(((hashes >> np.uint64(33)) % np.uint64(n)).astype(np.int64), n):
+    for b, i in _by(((hashes >> np.uint64(33)) % np.uint64(FINER * n)).astype(np.int64), FINER * n):
         head = _dump(d=d[i], k=k[i], a=start[i], b=size[i])
         body = zstd.ZstdCompressor(level=1).compress(b"".join(pieces[j] for j in i.tolist()))
         out.append((b, len(head), head + body))
@@ -265,7 +267,7 @@ def refined_buckets(buffer: np.ndarray, start: np.ndarray, size: np.ndarray) ->
         count = np.maximum(size - depth + 1, 0)
         return np.repeat(start - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
 
-    pointer = np.full(len(padded), -1, dtype=np.int64)
+    pointer = np.full(len(padded), -1, dtype=np.int32)
     at = places(8)
     pointer[at] = np.unique(words[at], return_inverse=True)[1]
     for depth, offset in ((16, 8), (32, 16), (MATCH, MATCH - 32)):
@@ -274,10 +276,10 @@ def refined_buckets(buffer: np.ndarray, start: np.ndarray, size: np.ndarray) ->
         several = np.bincount(here, minlength=1)[here] > 1 if len(here) else np.zeros(0, bool)
         # a bucket of one suffix needs no refinement; the others get new pointers, behind all old ones
         top = int(pointer.max()) + 1
-        now = np.full(len(padded), -1, dtype=np.int64)
+        now = np.full(len(padded), -1, dtype=np.int32)
         now[at] = here
         work = at[several]
-        now[work] = top + np.unique(pointer[work] * top + pointer[work + offset], return_inverse=True)[1]
+        now[work] = top + np.unique(pointer[work].astype(np.int64) * top + pointer[work + offset], return_inverse=True)[1]
         pointer = now
     return at, pointer[at]
 
