@@ -27,7 +27,7 @@ _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 SEED = 42
 BLOCKS, BLOCK_BITS = 4, 16
 #: Distinct fingerprints that a shard should hold, and levels of a tree at most.
-SHARD_ROWS, MAX_DEPTH = 16_384, 7
+SHARD_ROWS, MAX_DEPTH = 131_072, 7
 #: Pairs that a shard looks at in one step.
 STEP_PAIRS = 1 << 21
 
