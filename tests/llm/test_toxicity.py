@@ -53,3 +53,11 @@ def test_odd_rows(spark, odd, empty, labels):
     assert set(np.array(none.score(["a", None, ""]))) == {0.0}
     assert odd.withColumn("x", F.lit(1)).count() == toxicity.score(odd.withColumn("x", F.lit(1)), none).count()
     assert words
+
+
+def test_without_labels(spark, docs, labels):
+    """No labels, or one class only: a constant score."""
+    for some in (labels.limit(0), labels.where("toxic = 0")):
+        model = toxicity.fit(docs, some)
+        assert {r["score"] for r in toxicity.score(docs, model).collect()} == {0.0}
+    assert np.array_equal(model.score([None, ""]), [0.0, 0.0])
