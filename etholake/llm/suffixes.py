@@ -6,12 +6,14 @@ suffixes of a corpus would shuffle many times the corpus, so the suffix array is
 1. Anchors. In every window of MATCH bytes the q-grams with the least hash are anchors. Equal windows have the same
    anchors at the same places, so a repeat is found at its anchors, about one in seventeen bytes.
 2. Buckets by q-gram. Tasks send (hash of the q-gram, hashes of what lies around it, document, place), packed, to the
-   bucket of the q-gram. All that one of MATCH bytes around an anchor can see is its surroundings; where these are
-   equal in several documents, all but the one with the least id are settled. Of copies within a task one is sent.
-3. Refinement. Anchors with partly equal surroundings (17 bytes on one side at least) are settled byte by byte: their
-   surroundings go to the bucket, where suffixes are ordered by bucket pointers (Schuermann and Stoye 2005): the first
-   buckets hold equal 8-byte beginnings, and buckets of more than one suffix are refined by the bucket pointers of the
-   suffixes 8, 16 and 18 places on, with each round's pointers used by the next, up to depth 50. Comparison is exact.
+   bucket of the q-gram. All that one of MATCH bytes around an anchor can see is its surroundings. Anchors that may have
+   equal surroundings in another document, or partly equal ones (17 bytes on one side at least), are open: hashes choose
+   what is compared and settle nothing. Of copies within a task, compared byte by byte, one is sent.
+3. Refinement. Open anchors are settled byte by byte: their surroundings, of equal ones in a group of documents one, go
+   to the bucket. Of equal surroundings all but those with the least id are settled; of the others, suffixes are ordered
+   by bucket pointers (Schuermann and Stoye 2005): the first buckets hold equal 8-byte beginnings, and buckets of more
+   than one suffix are refined by the bucket pointers of the suffixes 8, 16 and 18 places on, with each round's pointers
+   used by the next, up to depth 50. Comparison is exact.
 4. The intervals found are cut out of the texts.
 """
 
@@ -104,6 +106,10 @@ def anchors(x: Layout) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc, found - x.starts[doc], h[found]
 
 
+#: Where the words of an anchor's surroundings begin.
+_WORDS_AROUND = (-34, -26, -18, -10, -8, 16, 24, 32, 40, 42)
+
+
 def _around(x: Layout, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of an anchor's surroundings (what of its document lies within SPREAD bytes before and MATCH after), of the
     HALF bytes before it and of those after; 0 for a half that the document does not have."""
@@ -116,12 +122,22 @@ def _around(x: Layout, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray,
             h ^= h >> np.uint64(31)
         return mix64(h)
 
-    whole = hashed((-34, -26, -18, -10, -8, 16, 24, 32, 40, 42), (before * 64 + after).astype(np.uint64))
+    whole = hashed(_WORDS_AROUND, (before * 64 + after).astype(np.uint64))
     left = (hashed((-17, -9, -8), np.zeros(len(at), np.uint64)) >> np.uint64(48)).astype(np.uint16) | np.uint16(1)
     right = (hashed((16, 24, 25), np.ones(len(at), np.uint64)) >> np.uint64(48)).astype(np.uint16) | np.uint16(1)
     return whole, np.where(before >= HALF, left, 0).astype(np.uint16), np.where(after >= Q + HALF, right, 0).astype(np.uint16)
 
 
+def _same(x: Layout, doc: np.ndarray, place: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether anchors i and j have the same q-gram and surroundings, byte by byte."""
+    at = x.starts[doc] + place
+    before, after = np.minimum(place, SPREAD), np.minimum(x.lengths[doc] - place, MATCH)
+    out = (before[i] == before[j]) & (after[i] == after[j])
+    for o in (0, 8, *_WORDS_AROUND):
+        out &= x.words[at[i] + o] == x.words[at[j] + o]
+    return out
+
+
 # ---- packed columns
 
 
@@ -154,7 +170,7 @@ def _by(key: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
             yield i, order[cut[i] : cut[i + 1]]
 
 
-ENTRY = ("<u4", "<u2", "<u2", "<u2", "<i8", "<u4", "<u2", "<u2")
+ENTRY = ("<u4", "<u8", "<u2", "<u2", "<i8", "<u4", "<u2", "<u2")
 FOUND = ("<i8", "<u4", "<u4", "<u4")
 SENT = "bucket int, kind int, payload binary"
 ANSWER = "part int, kind int, payload binary"
@@ -176,8 +192,10 @@ def _send(ids: np.ndarray, texts: list[bytes], n: int) -> pa.RecordBatch:
     same = mix64(h) ^ whole
     order = np.lexsort((d, same))
     first = np.concatenate([[True], same[order][1:] != same[order][:-1]]) if len(order) else np.zeros(0, bool)
-    least = d[order][first][np.cumsum(first) - 1] if len(order) else d
-    settled = np.sort(order[d[order] > least])
+    leader = order[first][np.cumsum(first) - 1] if len(order) else order
+    more = d[order] > d[leader]
+    order, leader = order[more], leader[more]
+    settled = np.sort(order[_same(x, doc, place, order, leader)])
     go = np.ones(len(d), dtype=bool)
     go[settled] = False
     rows: list[tuple[int, int, bytes]] = []
@@ -187,7 +205,7 @@ def _send(ids: np.ndarray, texts: list[bytes], n: int) -> pa.RecordBatch:
     at = np.flatnonzero(go)
     for b, i in _by(((h[at] >> np.uint64(33)) % np.uint64(n)).astype(np.int64), n):
         j = at[i]
-        rows.append((b, ANCHORS, _dump(h=h[j].astype("<u4"), w=(whole[j] >> np.uint64(48)).astype("<u2"), l=left[j], r=right[j], d=d[j], k=keys[doc[j]], lo=(place[j] & 0xFFFF).astype("<u2"), hi=(place[j] >> 16).astype("<u2"))))
+        rows.append((b, ANCHORS, _dump(h=h[j].astype("<u4"), w=whole[j], l=left[j], r=right[j], d=d[j], k=keys[doc[j]], lo=(place[j] & 0xFFFF).astype("<u2"), hi=(place[j] >> 16).astype("<u2"))))
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], ["bucket", "kind", "payload"])
 
 
@@ -196,30 +214,28 @@ def _answer(rows: list[tuple[int, int, bytes]]) -> pa.Table:
 
 
 def _bucket(t: pa.Table, n: int) -> pa.Table:
-    """Within a bucket of q-grams: anchors with equal surroundings in a smaller document are settled; those with partly
-    equal surroundings in another are open."""
+    """Within a bucket of q-grams: anchors whose surroundings may be, by their hashes, equal or partly equal to those in
+    another document are open. What tasks have settled is passed on."""
     kinds, blobs = t.column("kind").to_pylist(), t.column("payload").to_pylist()
     h, w, left, right, d, k, lo, hi = _loaded([b for b, x in zip(blobs, kinds) if x == ANCHORS], ENTRY)
     place = lo.astype(np.int64) | hi.astype(np.int64) << 16
-    around = w.astype(np.uint64) << np.uint64(32) | left.astype(np.uint64) << np.uint64(16) | right.astype(np.uint64)
-    order = np.lexsort((d, around, h))
-    h, around, left, right, d, k, place = (c[order] for c in (h, around, left, right, d, k, place))
+    order = np.lexsort((d, left.astype(np.uint32) << np.uint32(16) | right, w, h))
+    h, w, left, right, d, k, place = (c[order] for c in (h, w, left, right, d, k, place))
     fresh = lambda *cs: np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in cs])]) if len(cs[0]) else np.zeros(0, bool)
-    new = fresh(h, around)
+    new = fresh(h, w, left, right)
     group = np.cumsum(new) - 1
-    least = d[new][group] if len(d) else d
-    settled = d > least
-    # of each kind of surroundings one row: does another kind share the q-gram and a half?
     at = np.flatnonzero(new)
+    least = d[at][group] if len(d) else d
+    several = np.zeros(len(at), dtype=bool)
+    several[group[d > least]] = True
+    # of each kind of surroundings one row: does another kind share the q-gram and a half?
     shares = np.zeros(len(at), dtype=bool)
     for half in (left, right):
         _, inverse, count = np.unique(h[at].astype(np.uint64) << np.uint64(16) | half[at].astype(np.uint64), return_inverse=True, return_counts=True)
         shares |= (count[inverse] > 1) & (half[at] > 0)
-    open_ = ~settled & shares[group] if len(group) else settled
+    open_ = (several | shares)[group] if len(group) else np.zeros(0, bool)
     rows = [(0, SETTLED, b) for b, x in zip(blobs, kinds) if x == SETTLED]
     sd, sk, sa, sb = _loaded([b for *_, b in rows], FOUND)
-    a, b = _interval(place[settled], NULL_ID)
-    sd, sk, sa, sb = (np.concatenate(c) for c in ((sd, d[settled]), (sk, k[settled]), (sa, a.astype("<u4")), (sb, b.astype("<u4"))))
     out = [(p, SETTLED, _dump(d=sd[i], k=sk[i], a=sa[i], b=sb[i])) for p, i in _by(_parts(sd, n), n)]
     od, ok, op = d[open_], k[open_], place[open_].astype("<u4")
     out += [(p, OPEN, _dump(d=od[i], k=ok[i], a=op[i], b=op[i])) for p, i in _by(_parts(od, n), n)]
@@ -236,21 +252,35 @@ def _named(t: pa.Table) -> tuple[list[bytes], np.ndarray, dict[tuple[int, int],
     return texts, ids, rows
 
 
+def _copies(pieces: list[bytes], ids: np.ndarray) -> np.ndarray:
+    """Whether a piece's bytes are also those of a piece with a smaller id."""
+    number: dict[bytes, int] = {}
+    of = np.fromiter((number.setdefault(x, len(number)) for x in pieces), dtype=np.int64, count=len(pieces))
+    least = np.full(len(number), NULL_ID, dtype=np.int64)
+    np.minimum.at(least, of, ids)
+    return ids > least[of] if len(pieces) else np.zeros(0, bool)
+
+
 def _surroundings(docs: pa.Table, found: pa.Table, n: int) -> pa.Table:
-    """The bytes around the open anchors, by the bucket of their q-gram."""
+    """The bytes around the open anchors, by the bucket of their q-gram; copies within the group of documents are settled."""
     d, k, place, _ = _loaded([b for b, x in zip(found.column("payload").to_pylist(), found.column("kind").to_pylist()) if x == OPEN], FOUND)
     if not len(d) or not docs.num_rows:
         return _answer([])
     texts, _, rows = _named(docs)
-    pieces, hashes = [], np.zeros(len(d), dtype=np.uint64)
+    pieces = []
     for i, (doc, key, p) in enumerate(zip(d.tolist(), k.tolist(), place.tolist())):
         t = texts[rows[doc, key][0]]
         pieces.append(t[max(0, p - SPREAD) : p + MATCH])
-    grams = Layout([x[min(p, SPREAD) : min(p, SPREAD) + Q] for x, p in zip(pieces, place.tolist())])
-    hashes = _gram_hash(grams.words, grams.starts)
     size = np.fromiter(map(len, pieces), dtype=np.uint32, count=len(pieces))
     start = np.maximum(place.astype(np.int64) - SPREAD, 0).astype("<u4")
+    gone = _copies(pieces, d)
     out = []
+    if gone.any():
+        out.append((int(k[0] % (FINER * n)), SETTLED, _dump(d=d[gone], k=k[gone], a=start[gone], b=start[gone] + size[gone])))
+        pieces = [x for x, g in zip(pieces, gone.tolist()) if not g]
+        d, k, place, size, start = (c[~gone] for c in (d, k, place, size, start))
+    grams = Layout([x[min(p, SPREAD) : min(p, SPREAD) + Q] for x, p in zip(pieces, place.tolist())])
+    hashes = _gram_hash(grams.words, grams.starts)
     for b, i in _by(((hashes >> np.uint64(33)) % np.uint64(FINER * n)).astype(np.int64), FINER * n):
         head = _dump(d=d[i], k=k[i], a=start[i], b=size[i])
         body = zstd.ZstdCompressor(level=1).compress(b"".join(pieces[j] for j in i.tolist()))
@@ -286,32 +316,45 @@ def refined_buckets(buffer: np.ndarray, start: np.ndarray, size: np.ndarray) ->
 
 def _refine(t: pa.Table, n: int) -> pa.Table:
     """Within a bucket of q-grams: the runs of MATCH-byte strings that also begin in a smaller document."""
-    heads, bodies = [], []
+    heads, bodies, rows = [], [], []
     for size, blob in zip(t.column("kind").to_pylist(), t.column("payload").to_pylist()):
+        if size == SETTLED:
+            rows.append(_load(blob, FOUND))
+            continue
         heads.append(blob[:size])
         bodies.append(zstd.ZstdDecompressor().decompress(blob[size:]))
     d, k, first, size = _loaded(heads, FOUND)
-    buffer = np.frombuffer(b"".join(bodies), dtype=np.uint8)
-    size = size.astype(np.int64)
+    joined = b"".join(bodies)
+    start = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+    pieces = [joined[i:j] for i, j in zip(start[:-1].tolist(), start[1:].tolist())]
+    gone = _copies(pieces, d)
+    rows.append([d[gone], k[gone], first[gone], first[gone] + size[gone]])
+    if len(d) and not gone.all():
+        rows.append(_runs(b"".join(x for x, g in zip(pieces, gone.tolist()) if not g), d[~gone], k[~gone], first[~gone], size[~gone].astype(np.int64)))
+    d, k, a, b = (np.concatenate(c) for c in zip(*rows))
+    return _answer([(q, SETTLED, _dump(d=d[i], k=k[i], a=a[i], b=b[i])) for q, i in _by(_parts(d, n), n)])
+
+
+def _runs(joined: bytes, d: np.ndarray, k: np.ndarray, first: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """(id, crc, from, to) of the runs of the pieces' MATCH-byte strings that also begin in a piece with a smaller id."""
     start = np.concatenate([[0], np.cumsum(size)[:-1]])
-    at, pointer = refined_buckets(buffer, start, size)
-    if not len(at):
-        return _answer([])
+    at, pointer = refined_buckets(np.frombuffer(joined, dtype=np.uint8), start, size)
+    none = np.zeros(0, dtype=np.int64)
     piece = np.searchsorted(start, at, side="right") - 1
     ids = d[piece]
     _, pointer = np.unique(pointer, return_inverse=True)
-    least = np.full(pointer.max() + 1, NULL_ID, dtype=np.int64)
+    least = np.full(len(at), NULL_ID, dtype=np.int64)
     np.minimum.at(least, pointer, ids)
     hit = ids > least[pointer]
     at, piece = at[hit], piece[hit]
     if not len(at):
-        return _answer([])
+        return [c.astype(x) for c, x in zip((none,) * 4, FOUND)]
     new = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (piece[1:] != piece[:-1])])
     last = np.concatenate([new[1:], [True]])
     p = piece[new]
     a = first[p] + (at[new] - start[p])
     b = first[p] + (at[last] - start[p]) + MATCH
-    return _answer([(q, SETTLED, _dump(d=d[p][i], k=k[p][i], a=a[i].astype("<u4"), b=b[i].astype("<u4"))) for q, i in _by(_parts(d[p], n), n)])
+    return [d[p], k[p], a.astype("<u4"), b.astype("<u4")]
 
 
 def _cut(docs: pa.Table, found: pa.Table) -> pa.Table:

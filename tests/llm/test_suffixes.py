@@ -1,6 +1,8 @@
 import hashlib
+import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from etholake.llm import suffixes
@@ -47,6 +49,25 @@ def test_exact_length(spark):
     check(table(spark, [base, "##" + base[30:80] + "##", "##" + base[30:79] + "##", base[100:150] + "!", "!" + base[:50] + "!" + base[60:120]]))
 
 
+def test_common_core_in_many_documents(spark):
+    """Only the whole surroundings tell the anchors of a passage's ends apart: unshared text must stay."""
+    rng = random.Random(5)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    passage = noise(70)
+    check(table(spark, [noise(40) + passage + noise(40) for _ in range(3000)]))
+
+
+def test_equal_hashes_settle_nothing(monkeypatch):
+    """With all hashes of surroundings equal, only what is equal byte by byte is settled."""
+    monkeypatch.setattr(suffixes, "_around", lambda x, doc, place: (np.zeros(len(doc), np.uint64), np.ones(len(doc), np.uint16), np.ones(len(doc), np.uint16)))
+    core = bytes(range(65, 115))
+    texts = [b"a" * 9 + core + b"b" * 9, b"c" * 9 + core + b"d" * 9]
+    for other, settled in ((texts[1], False), (texts[0], True)):
+        sent = suffixes._send(np.array([1, 2]), [texts[0], other], 1)
+        found = suffixes._bucket(pa.Table.from_batches([sent]), 1)
+        assert (suffixes.SETTLED in found.column("kind").to_pylist()) == settled
+
+
 def test_odd_rows(odd, empty):
     check(odd)
     assert suffixes.digests(empty).count() == 0
