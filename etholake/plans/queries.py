@@ -491,14 +491,14 @@ def image_background_and_threshold(spark, sf):
 @query()
 def flip_classifier_accuracy(spark, sf):
     train, test = flips.split(flips.augmented(_images(spark, sf), 8), 20, "frame")
-    return flips.accuracy(flips.fit(train, trees=20), test)
+    return flips.accuracy(flips.fit(train), test)
 
 
 @query()
 def flip_classifier_apply(spark, sf):
     train, _ = flips.split(flips.augmented(_images(spark, sf), 8), 20, "frame")
     frames = _images(spark, sf).withColumn("angle", F.lit(0.0))
-    return flips.apply(flips.fit(train, trees=10), frames, 5).select("uuid", "frame", "flip", "angle")
+    return flips.apply(flips.fit(train), frames).select("uuid", "frame", "flip", "angle")
 
 
 @query(f"WITH {tb.FRAMES}, g AS (SELECT min(value) AS a, max(value) AS b, min(k) AS c, max(k) AS d FROM fr), n AS (SELECT grp, syllable, least(floor((value - a) / (b - a) * 50), 49)::INT AS xbin, least(floor((k - c) / (d - c) * 50), 49)::INT AS ybin, count(*) AS n FROM fr, g GROUP BY ALL) SELECT grp, syllable, xbin, ybin, round(n / sum(n) OVER (PARTITION BY grp, syllable), 6) AS pdf FROM n")
