@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -24,21 +26,57 @@ def crc_mod(doc_id: Column, m: int) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a temporary folder will do if
+    the executors are threads of this process; on a cluster it is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.gettempdir() + f"/etholake-{os.getuid()}-checkpoints"
-    return folder
+    if folder:
+        return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir is unset: a cluster needs a folder that all its machines share")
+    return f"{tempfile.gettempdir()}/etholake-{os.getuid()}-checkpoints"
+
+
+#: Folders written by this process and not yet removed.
+_WRITTEN: dict[str, SparkSession] = {}
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is written there goes when the process ends, if not before."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN[path] = spark
+    return path
+
+
+def remove(*paths: str) -> None:
+    """Delete what was written to these paths, through Spark's own file systems."""
+    for path in paths:
+        spark = _WRITTEN.pop(path, None)
+        if spark is not None:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+@atexit.register
+def _remove_all() -> None:
+    for path in list(_WRITTEN):
+        try:
+            remove(path)
+        except Exception:  # the JVM may be gone before us
+            return
 
 
 def written(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut the lineage: write the rows as Parquet to the shared folder and read them again.
 
     A lost executor then costs a read of these files, not the stages before them."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return written_at(df, name)[0]
+
+
+def written_at(df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
+    """As written, with the path, for remove() after the last read."""
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def n_shuffle(spark: SparkSession) -> int:

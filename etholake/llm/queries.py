@@ -69,7 +69,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import simhash
 
-    found = simhash.classes(simhash.with_fingerprints(load(spark, sf_dir, "documents"), k=4), radius=4)
+    found = simhash.classes(simhash.with_fingerprints(load(spark, sf_dir, "documents")))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

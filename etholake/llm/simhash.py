@@ -1,35 +1,49 @@
 """Operator 6: SimHash near-duplicates with vantage-point trees.
 
 A document's fingerprint is the bitwise majority of its shingles' hashes. Copies share a fingerprint, so the search
-runs over distinct fingerprints. Two that differ in at most `radius` bits differ in at most radius // BLOCKS bits in
-one of BLOCKS equal parts of the fingerprint; over each part, a vantage-point tree partitions the values by their
-Hamming distance to vantage points. Every fingerprint lives in one leaf (shard) of each tree and, as a query, goes to
-just those shards that the triangle bound cannot exclude. A shard compares whole fingerprints, exactly, and sends on
-only a spanning star for each group that it finds, never all pairs; groups meet in a connected-components job.
+runs over distinct fingerprints. A vantage-point tree partitions them by their Hamming distance to vantage points, down
+to shards; a fingerprint lives in one shard, and as a guest it also goes to those shards beyond a boundary that the
+triangle bound cannot exclude. A shard grows its own tree in the same way and compares whole fingerprints, exactly, where
+the bound ends; it sends on only a spanning forest of the links that it finds, never all pairs. Groups meet in a
+connected-components job.
+
+The trees over shards are grown on a bounded sample, but every fingerprint is routed by them. A shard that no vantage
+point divides (a dense cluster) is split into pieces, and each two pieces meet in a block of their own.
+
+Links within a few bits are found by one tree over the whole fingerprint. Where links may be far apart, a bound on the
+whole distance excludes nothing; there, several short parts of a longer fingerprint have a tree each, and what is near in
+any part is compared as a whole and then confirmed by its shingles.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import WORD, chunks, mix64, n_shuffle, written
+from ._common import WORD, chunks, mix64, remove, written_at
 
 _WORDS = re.compile(WORD.encode())
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 SEED = 42
-BLOCKS, BLOCK_BITS = 4, 16
-#: Distinct fingerprints that a shard should hold, and levels of a tree at most.
-SHARD_ROWS, MAX_DEPTH = 131_072, 7
-#: Pairs that a shard looks at in one step.
-STEP_PAIRS = 1 << 21
+#: Distinct fingerprints that a shard should hold, and that a leaf of a shard's own tree compares directly.
+SHARD_ROWS, LEAF_ROWS = 8_192, 128
+#: Fingerprints that the trees over shards are grown on, about; and at least so many of them in a shard.
+SAMPLE, LEAST_SAMPLE = 32_768, 16
+#: Pairs that a shard looks at in one step, and links that it holds before it thins them out to a spanning forest.
+STEP_PAIRS, MOST_LINKS = 1 << 21, 1 << 20
+#: Near-duplicates: words of a shingle, similarity of the sets of shingles, 64-bit words of the longer fingerprint, bits
+#: of a part, bits in which parts may differ, and bits in which whole fingerprints may (at a similarity of 0.8, 29 on
+#: average with a standard deviation of 5; of unrelated texts, 96 with one of 7).
+SHINGLE, SIMILARITY, SKETCH_WORDS, PART_BITS, PART_SLACK, SKETCH_RADIUS = 5, 0.8, 3, 16, 1, 48
+_TURNS = [np.uint64(x) for x in (0, 0x5851F42D4C957F2D, 0x14057B7EF767814F)]
 
 
 def shingle_hashes(text: str | None, k: int) -> np.ndarray:
@@ -58,234 +72,353 @@ def _majority(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(texts: list[str | None], k: int = 4, more: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit fingerprints; with more, 64 further bits from a second hash of each shingle (else zeros)."""
-    first, second = np.zeros(len(texts), dtype=np.uint64), np.zeros(len(texts), dtype=np.uint64)
+def fingerprints(texts: list[str | None], k: int = 4) -> np.ndarray:
+    """64-bit fingerprints: of all shingles, repeats included."""
+    out = np.zeros(len(texts), dtype=np.uint64)
     for at, part in chunks(texts, 1_000_000):
         hashes = [shingle_hashes(t, k) for t in part]
         bounds = np.concatenate([[0], np.cumsum([len(h) for h in hashes])])
-        joined = np.concatenate(hashes)
-        first[at : at + len(part)] = _majority(joined, bounds)
-        if more:
-            second[at : at + len(part)] = _majority(mix64(joined ^ np.uint64(0x5851F42D4C957F2D)), bounds)
-    return first, second
+        out[at : at + len(part)] = _majority(np.concatenate(hashes), bounds)
+    return out
 
 
-def with_fingerprints(docs: DataFrame, k: int = 4, more: bool = False, fp: str = "fp", fp2: str = "fp2") -> DataFrame:
-    """doc_id and fingerprint(s), as signed longs, of every row's whole text."""
+def with_fingerprints(docs: DataFrame, k: int = 4) -> DataFrame:
+    """doc_id and fp, the fingerprint as a signed long, of every row's whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = fingerprints(b.column("text").to_pylist(), k, more)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], ["doc_id", fp, fp2])
-
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {fp} long, {fp2} long")
-
-
-# ---- vantage-point trees over one part of the fingerprint
-
-
-def grow(values: np.ndarray, weights: np.ndarray, depth: int, rng: np.random.Generator):
-    """A tree over distinct 16-bit values: (vantage, bound, inner, outer), or a leaf's number in `leaves` order (None here)."""
-    if depth == 0 or len(values) < 2:
-        return None
-    best = None
-    for v in rng.choice(values, min(4, len(values)), replace=False):
-        d = np.bitwise_count(values ^ v)
-        at = np.bincount(d, weights, BLOCK_BITS + 1)
-        under = np.cumsum(at)
-        # halve the weight; of the vantage points tried, the one that puts least weight near the bound
-        bound = int(np.argmin(np.abs(under[:-1] - under[-1] / 2)))
-        if 0 < under[bound] < under[-1]:
-            near = at[max(0, bound - 1) : bound + 3].sum()
-            if best is None or near < best[0]:
-                best = (near, v, bound, d)
-    if best is None:
-        return None
-    _, v, bound, d = best
-    inside = d <= bound
-    return v, bound, grow(values[inside], weights[inside], depth - 1, rng), grow(values[~inside], weights[~inside], depth - 1, rng)
+            x = fingerprints(b.column("text").to_pylist(), k)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(x.view(np.int64))], ["doc_id", "fp"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
+
+
+def with_sketches(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
+    """doc_id, _text (hash of the text), node (a digest of its set of shingles: equal sets, equal nodes), w0, w1, ... (the
+    words of a longer fingerprint of that set) and shingles (the set, as 32-bit hashes), of every row's whole text."""
+    names = [f"w{i}" for i in range(SKETCH_WORDS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at, part in chunks(b.column("text").to_pylist(), 1_000_000):
+                sets = [np.unique(shingle_hashes(t, k)) for t in part]
+                bounds = np.concatenate([[0], np.cumsum([len(h) for h in sets])])
+                joined = np.concatenate(sets)
+                nodes = pa.array([hashlib.blake2b(h.tobytes(), digest_size=16).hexdigest() for h in sets])
+                words = [pa.array(_majority(mix64(joined ^ t) if i else joined, bounds).view(np.int64)) for i, t in enumerate(_TURNS[:SKETCH_WORDS])]
+                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array((joined >> np.uint64(32)).astype(np.uint32).view(np.int32)))
+                here = slice(at, at + len(part))
+                yield pa.RecordBatch.from_arrays([b.column("doc_id")[here], b.column("_text")[here], nodes, *words, lists], ["doc_id", "_text", "node", *names, "shingles"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    fields = f"doc_id {kind}, _text long, node string, {', '.join(f'{w} long' for w in names)}, shingles array<int>"
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("_text")).mapInArrow(run, fields)
+
+
+# ---- vantage-point trees
+
 
+class Part(NamedTuple):
+    """A run of bits of a fingerprint that a tree is grown over, and in how many of them linked fingerprints may differ."""
 
-def route(tree, values: np.ndarray, slack: int, first: int = 0) -> tuple[np.ndarray, np.ndarray, int]:
-    """(index of a value, leaf) for every leaf that may hold something within slack of it, and the next free leaf number.
+    word: int
+    shift: int
+    bits: int
+    slack: int
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        kind = np.uint16 if self.bits <= 16 else np.uint32 if self.bits <= 32 else np.uint64
+        return (words[:, self.word] >> np.uint64(self.shift) & np.uint64((1 << self.bits) - 1)).astype(kind)
+
+
+def short_parts(words: int = SKETCH_WORDS, bits: int = PART_BITS, slack: int = PART_SLACK) -> list[Part]:
+    return [Part(w, s, bits, slack) for w in range(words) for s in range(0, 64, bits)]
+
+
+def divide(values: np.ndarray, slack: int, guests: int, rng: np.random.Generator):
+    """(vantage point, bound) that leave the fewest comparisons between the two sides' residents and their guests, of a
+    few vantage points tried; nothing if none saves much."""
+    some = values if len(values) <= 4096 else rng.choice(values, 4096, replace=False)
+    n, g = len(some), guests * len(some) / len(values)
+    best, least = None, 0.95 * n * (n + g)
+    for v in rng.choice(some, min(6, n), replace=False):
+        under = np.cumsum(np.bincount(np.bitwise_count(some ^ v), minlength=64 + 2 * slack + 2)) / n
+        bound = np.arange(64)
+        inner, outer = under[bound], 1 - under[bound]
+        near = under[bound + slack]
+        # under[bound - slack], 0 below the least distance
+        far = np.concatenate([np.zeros(slack), under[: 64 - slack]])
+        cost = n * inner * (n * inner + g * near) + n * outer * (n * (1 - far) + g * (1 - far))
+        cost[(inner == 0) | (outer == 0)] = np.inf
+        at = int(cost.argmin())
+        if cost[at] < least:
+            best, least = (v, at), cost[at]
+    return best
+
+
+def sides(values: np.ndarray, residents: np.ndarray, guests: np.ndarray, vantage, bound: int, slack: int, meet: bool = True):
+    """Residents and guests inside the bound, and outside it.
 
     A value at distance d from the vantage point has no neighbour inside unless d - slack <= bound, and none outside
-    unless d + slack > bound: the triangle inequality."""
-    if tree is None:
-        return np.arange(len(values)), np.full(len(values), first), first + 1
-    v, bound, inner, outer = tree
-    d = np.bitwise_count(values ^ v).astype(np.int64)
-    a = np.flatnonzero(d - slack <= bound)
-    b = np.flatnonzero(d + slack > bound)
-    ia, la, nxt = route(inner, values[a], slack, first)
-    ib, lb, nxt = route(outer, values[b], slack, nxt)
-    return np.concatenate([a[ia], b[ib]]), np.concatenate([la, lb]), nxt
-
-
-def plan(histogram: list[tuple[int, int, int]], total: int, slack: int) -> list[list[list[int]]]:
-    """For each part and each of its 65,536 possible values at most: [home shard, shards to query]. Sized by the
-    number of values, whatever the number of documents."""
-    depth = int(np.clip(np.ceil(np.log2(max(1.0, total / SHARD_ROWS))), 0, MAX_DEPTH))
-    rng = np.random.default_rng(SEED)
-    rows, base = [], 0
-    for block in range(BLOCKS):
-        part = np.array([(v, n) for b, v, n in histogram if b == block], dtype=np.int64).reshape(-1, 2)
-        if not len(part):
-            continue
-        part = part[np.argsort(part[:, 0])]
-        values = part[:, 0].astype(np.uint16)
-        tree = grow(values, part[:, 1].astype(float), depth, rng)
-        hi, hl, n = route(tree, values, 0)
-        qi, ql, _ = route(tree, values, slack)
-        home = np.empty(len(values), dtype=np.int64)
-        home[hi] = hl
-        order = np.argsort(qi, kind="stable")
-        cut = np.searchsorted(qi[order], np.arange(len(values) + 1))
-        for i, v in enumerate(values.tolist()):
-            rows.append([block, v, base + int(home[i]), (base + ql[order[cut[i] : cut[i + 1]]]).tolist()])
-        base += n
-    return rows
+    unless d + slack > bound: the triangle inequality. Residents inside that may have neighbours outside are guests
+    there, so that every pair of neighbours meets once."""
+    d = np.bitwise_count(values[residents] ^ vantage).astype(np.int64)
+    e = np.bitwise_count(values[guests] ^ vantage).astype(np.int64)
+    inside = d <= bound
+    cross = residents[inside & (d + slack > bound)] if meet else residents[:0]
+    return (residents[inside], guests[e - slack <= bound]), (residents[~inside], np.concatenate([guests[e + slack > bound], cross]))
 
 
-# ---- exact search within a shard
+class Leaf(NamedTuple):
+    """A shard, or the pieces of one: blocks of two pieces each, numbered from first."""
 
+    first: int
+    pieces: int
 
-class Groups:
-    """Union-find over array indices, with batches of pairs."""
+    def block(self, i: int, j: int) -> int:
+        return self.first + j * (j + 1) // 2 + i
 
-    def __init__(self, n: int) -> None:
-        self.of = np.arange(n)
 
-    def roots(self, i: np.ndarray) -> np.ndarray:
-        r = self.of[i]
-        while ((up := self.of[r]) != r).any():
+def grow(sample: np.ndarray, slack: int, scale: float, first: int, rng: np.random.Generator):
+    """(tree, next free block): the tree is a Leaf, or (vantage, bound, tree inside, tree outside). A sampled fingerprint
+    stands for scale of them."""
+    if len(sample) * scale > SHARD_ROWS and len(sample) >= 2 * LEAST_SAMPLE and (cut := divide(sample, slack, 0, rng)):
+        inside = np.bitwise_count(sample ^ cut[0]) <= cut[1]
+        inner, first = grow(sample[inside], slack, scale, first, rng)
+        outer, first = grow(sample[~inside], slack, scale, first, rng)
+        return (*cut, inner, outer), first
+    pieces = max(1, round(len(sample) * scale / (2 * SHARD_ROWS)))
+    return Leaf(first, pieces), first + pieces * (pieces + 1) // 2
+
+
+def depth(tree) -> int:
+    return 0 if isinstance(tree, Leaf) else 1 + max(depth(tree[2]), depth(tree[3]))
+
+
+#: What a row is to its block: a guest; a resident; a resident that is compared with guests only.
+GUEST, RESIDENT, HOST = 0, 1, 2
+
+
+def route(tree, values: np.ndarray, slack: int, pick: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(block, role, indices of values) for all values; pick deals the residents of a leaf to its pieces."""
+    stack = [(tree, np.arange(len(values)), np.zeros(0, dtype=np.int64))]
+    while stack:
+        node, residents, guests = stack.pop()
+        if not isinstance(node, Leaf):
+            inside, outside = sides(values, residents, guests, node[0], node[1], slack)
+            stack += [(node[2], *inside), (node[3], *outside)]
+            continue
+        piece = pick[residents] % np.uint64(node.pieces)
+        for i in range(node.pieces):
+            own = residents[piece == i]
+            yield node.block(i, i), GUEST, guests
+            for j in range(node.pieces):
+                yield (node.block(i, j), GUEST if i < j else RESIDENT, own) if i <= j else (node.block(j, i), HOST, own)
+
+
+# ---- exact search within a block
+
+
+def spanning(n: int, a: np.ndarray, b: np.ndarray, dist: np.ndarray) -> np.ndarray:
+    """Indices of links (a, b) that make a spanning forest of all links over n nodes, nearer links first."""
+    of, kept = np.arange(n), []
+
+    def roots(i: np.ndarray) -> np.ndarray:
+        r = of[i]
+        while ((up := of[r]) != r).any():
             r = up
         return r
 
-    def join(self, a: np.ndarray, b: np.ndarray) -> None:
-        while len(a):
-            ra, rb = self.roots(a), self.roots(b)
-            open_ = ra != rb
-            if not open_.any():
-                return
-            a, b, ra, rb = a[open_], b[open_], ra[open_], rb[open_]
-            lo, hi = np.minimum(ra, rb), np.maximum(ra, rb)
-            np.minimum.at(self.of, hi, lo)
-            self.of = self.of[self.of]
-
-
-def ball(radius: int) -> np.ndarray:
-    """The block differences of at most so many bits."""
-    every = np.arange(1 << BLOCK_BITS, dtype=np.uint32)
-    return every[np.bitwise_count(every) <= radius]
-
-
-def shard_links(fp: np.ndarray, fp2: np.ndarray, home: np.ndarray, block: int, radius: int, radius2: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Links (a spanning star for each group) between the shard's residents and all fingerprints that query it: pairs
-    that differ in at most radius bits and, where radius2 is given, in at most radius2 over both words."""
-    order = np.argsort((fp >> np.uint64(BLOCK_BITS * block)) & np.uint64(0xFFFF), kind="stable")
-    fp, fp2, home = fp[order], fp2[order], home[order]
-    value = ((fp >> np.uint64(BLOCK_BITS * block)) & np.uint64(0xFFFF)).astype(np.uint32)
-    res = np.flatnonzero(home)
-    start = np.searchsorted(value[res], np.arange((1 << BLOCK_BITS) + 1))
-    groups = Groups(len(fp))
-    distinct, first, count = np.unique(value, return_index=True, return_counts=True)
-    for mask in ball(radius // BLOCKS):
-        other = distinct ^ mask
-        lo, n = start[other], start[other + 1] - start[other]
-        work = count * n
-        some = np.flatnonzero(work)
-        if not len(some):
+    for d in np.unique(dist):
+        i = np.flatnonzero(dist == d)
+        while len(i):
+            x, y = roots(a[i]), roots(b[i])
+            i, x, y = (c[x != y] for c in (i, x, y))
+            high, first = np.unique(np.maximum(x, y), return_index=True)
+            # each root but the least of those that meet gets one smaller root
+            of[high] = np.minimum(x, y)[first]
+            kept.append(i[first])
+            of = of[of]
+    return np.concatenate(kept) if kept else np.zeros(0, dtype=np.int64)
+
+
+class Links:
+    """Links found so far, thinned out to a spanning forest when they are many."""
+
+    def __init__(self, n: int) -> None:
+        self.n, self.found, self.size = n, [], 0
+
+    def add(self, a: np.ndarray, b: np.ndarray, dist: np.ndarray) -> None:
+        if len(a):
+            self.found.append((a, b, dist))
+            self.size += len(a)
+        if self.size > MOST_LINKS + self.n:
+            self.forest()
+
+    def forest(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        none = np.zeros(0, dtype=np.int64)
+        a, b, dist = (np.concatenate(c) for c in zip(*self.found)) if self.found else (none, none, none)
+        i = spanning(self.n, a, b, dist)
+        self.found, self.size = [(a[i], b[i], dist[i])], len(i)
+        return self.found[0]
+
+
+def block_links(words: np.ndarray, role: np.ndarray, part: Part, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A spanning forest, as (index, index, distance), of the links between a block's residents and between these and its
+    guests: pairs that differ in at most part.slack bits of the part and in at most radius bits in all."""
+    values, found, rng = part.of(words), Links(len(words)), np.random.default_rng(SEED)
+    meet = not (role == HOST).any()
+
+    def compare(residents: np.ndarray, others: np.ndarray, same: bool) -> None:
+        step = max(1, STEP_PAIRS // max(1, len(residents)))
+        for start in range(0, len(others), step):
+            q = others[start : start + step]
+            r = residents[start:] if same else residents
+            i, j = np.nonzero(np.bitwise_count(values[q][:, None] ^ values[r][None, :]) <= part.slack)
+            if same:
+                i, j = i[j > i], j[j > i]
+            a, b = q[i], r[j]
+            dist = np.bitwise_count(words[a] ^ words[b]).sum(axis=1, dtype=np.int64)
+            near = dist <= radius
+            found.add(a[near], b[near], dist[near])
+
+    stack = [(np.flatnonzero(role != GUEST), np.flatnonzero(role == GUEST))]
+    while stack:
+        residents, guests = stack.pop()
+        if not len(residents) or not (len(guests) or meet and len(residents) > 1):
             continue
-        # every (query value, resident value) is a rectangle of pairs, done by rows in steps of bounded size
-        rows = np.repeat(first[some] - np.concatenate([[0], np.cumsum(count[some])[:-1]]), count[some]) + np.arange(count[some].sum())
-        r_lo, r_n = np.repeat(lo[some], count[some]), np.repeat(n[some], count[some])
-        total = np.cumsum(r_n)
-        done = 0
-        while done < len(rows):
-            base = total[done - 1] if done else 0
-            upto = max(done + 1, int(np.searchsorted(total, base + STEP_PAIRS, side="right")))
-            m = r_n[done:upto]
-            q = np.repeat(rows[done:upto], m)
-            r = res[np.repeat(r_lo[done:upto] - np.concatenate([[0], np.cumsum(m)[:-1]]), m) + np.arange(m.sum())]
-            dist = np.bitwise_count(fp[q] ^ fp[r])
-            near = (dist <= radius) & (q != r)
-            if radius2 is not None:
-                near &= dist + np.bitwise_count(fp2[q] ^ fp2[r]) <= radius2
-            groups.join(q[near], r[near])
-            done = upto
-    root = groups.roots(np.arange(len(fp)))
-    # name a group by a member; each other member is one link
-    linked = np.flatnonzero(root != np.arange(len(fp)))
-    return order[linked], order[root[linked]]
+        cut = divide(values[residents], part.slack, len(guests), rng) if len(residents) > LEAF_ROWS else None
+        if cut:
+            stack += sides(values, residents, guests, *cut, part.slack, meet)
+            continue
+        compare(residents, guests, False)
+        if meet:
+            compare(residents, residents, True)
+    return found.forest()
+
+
+def links(nodes: DataFrame, parts: list[Part], radius: int) -> DataFrame:
+    """(a, b): links between nodes(node, w0, w1, ...), distinct fingerprints with a name. All that are near in a part and
+    within radius are connected by what is returned."""
+    names = [c for c in nodes.columns if c != "node"]
+    kind = nodes.schema["node"].dataType.simpleString()
+    total = nodes.count()
+    one_in = total // SAMPLE + 1
+    # about SAMPLE rows at most, however many there are
+    sample = nodes.select(*names).where(F.pmod(F.xxhash64(*names, F.lit(1)), F.lit(one_in)) == 0).collect()
+    sample = np.array([tuple(r) for r in sorted(sample)], dtype=np.int64).reshape(-1, len(names)).view(np.uint64)
+    rng, trees, first = np.random.default_rng(SEED), [], 0
+    for part in parts:
+        tree, first = grow(part.of(sample), part.slack, total / max(1, len(sample)), first, rng)
+        trees.append(tree)
+
+    def words_of(t: pa.Table | pa.RecordBatch) -> np.ndarray:
+        return np.stack([t.column(w).to_numpy() for w in names], axis=1).view(np.uint64)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 4096):
+                b = whole.slice(start, 4096)
+                words = words_of(b)
+                pick = mix64(np.bitwise_xor.reduce(words, axis=1))
+                for k, (part, tree) in enumerate(zip(parts, trees)):
+                    sent = [x for x in route(tree, part.of(words), part.slack, pick) if len(x[2])]
+                    at = np.concatenate([x[2] for x in sent])
+                    counts = [len(x[2]) for x in sent]
+                    block, role = (np.repeat(np.array([x[i] for x in sent], dtype=np.int32), counts) for i in (0, 1))
+                    rows = b.take(pa.array(at))
+                    yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(np.full(len(at), k, dtype=np.int32)), pa.array(role), *rows.columns], ["block", "part", "role", *rows.schema.names])
+
+    def search(t: pa.Table) -> pa.Table:
+        a, b, _ = block_links(words_of(t), t.column("role").to_numpy(), parts[t.column("part")[0].as_py()], radius)
+        node = t.column("node")
+        return pa.table({"a": node.take(pa.array(a)), "b": node.take(pa.array(b))})
+
+    fields = f"block int, part int, role int, node {kind}, {', '.join(f'{w} long' for w in names)}"
+    sent = nodes.select("node", *names).mapInArrow(send, fields)
+    return sent.groupBy("block").applyInArrow(search, f"a {kind}, b {kind}")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node in edges (a, b): root is the smallest node reachable. Large-star and small-star
     rounds (Kiveris et al. 2014), each written to the shared folder, until nothing changes."""
-    e = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    while True:
+    e, at = written_at(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    # both are sets of pairs, so they are equal if counts and order-free sums of hashes are
+    sums = [F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003), F.sum(F.hash("b", "a").cast("long"))]
+    before = e.agg(*sums).first()
+    while before[0]:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.where("b <> a").groupBy("a").agg(F.min("b").alias("m"))
         small = large.where("b <> a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-        new = written(small.where("a <> b").distinct(), "links")
-        # both are sets of pairs, so they are equal if counts and order-free sums of hashes are
-        sums = [F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003), F.sum(F.hash("b", "a").cast("long"))]
-        if e.agg(*sums).first() == new.agg(*sums).first():
+        e, new_at = written_at(small.where("a <> b").distinct(), "links")
+        remove(at)
+        after, at = e.agg(*sums).first(), new_at
+        if after == before:
             break
-        e = new
-    return new.select(F.col("a").alias("node"), F.col("b").alias("root")).union(new.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+        before = after
+    return e.select(F.col("a").alias("node"), F.col("b").alias("root")).union(e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def classes(prints: DataFrame, radius: int = 4, radius2: int | None = None) -> DataFrame:
-    """doc_id, fp, fp2 and component_id (the smallest doc_id reachable over links) of every row of prints(doc_id, fp, fp2).
+def named(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """node, root and component_id, of nodes(node, _least): all nodes that edges connect have one root, the least of them,
+    and one component_id, the least _least."""
+    found = components(edges).withColumnRenamed("node", "_node")
+    # a node without links is its own component
+    member = nodes.join(found, F.col("node") == F.col("_node"), "left").select("node", "_least", F.coalesce("root", "node").alias("root"))
+    return member.join(member.groupBy("root").agg(F.min("_least").alias("component_id")), "root").select("node", "root", "component_id")
 
-    A null id names a component only if that has no others; repeated rows are in one component; no rows give none."""
-    spark, keys = prints.sparkSession, ["fp", "fp2"]
-    prints = written(prints, "fingerprints")
-    distinct = prints.groupBy(*keys).agg(F.min("doc_id").alias("_least"))
-    block = lambda i: F.shiftrightunsigned("fp", BLOCK_BITS * i).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
-    blocks = F.explode(F.array(*[F.struct(F.lit(i).alias("block"), block(i).alias("value")) for i in range(BLOCKS)]))
-    parted = distinct.select(*keys, blocks.alias("_b")).select(*keys, "_b.*")
-    # at most BLOCKS * 65,536 rows, however many documents there are
-    histogram = [tuple(r) for r in parted.groupBy("block", "value").agg(F.count("*").alias("n")).collect()]
-    routes = plan(histogram, sum(n for b, _, n in histogram if b == 0), radius // BLOCKS)
-    if not routes:
-        return prints.withColumn("component_id", F.col("doc_id"))
-    names = {"block": pa.int32(), "value": pa.int64(), "home": pa.int32(), "shards": pa.list_(pa.int32())}
-    table = spark.createDataFrame(pa.table({c: pa.array([r[i] for r in routes], t) for i, (c, t) in enumerate(names.items())}))
-    sent = (
-        parted.join(F.broadcast(table), ["block", "value"])  # bounded like the histogram
-        .select("block", *keys, "home", F.explode("shards").alias("shard"))
-        .select("block", "shard", *keys, (F.col("shard") == F.col("home")).alias("resident"))
-    )
 
-    def search(t: pa.Table) -> pa.Table:
-        fp, fp2 = t.column("fp").to_numpy(), t.column("fp2").to_numpy()
-        a, b = shard_links(fp.view(np.uint64), fp2.view(np.uint64), t.column("resident").to_numpy(), int(t.column("block")[0].as_py()), radius, radius2)
-        return pa.table({"a_fp": fp[a], "a_fp2": fp2[a], "b_fp": fp[b], "b_fp2": fp2[b]})
-
-    node = lambda x, y: F.concat(F.lpad(F.hex(x), 16, "0"), F.lpad(F.hex(y), 16, "0"))
-    links = sent.groupBy("shard").applyInArrow(search, "a_fp long, a_fp2 long, b_fp long, b_fp2 long")
-    found = components(links.select(node("a_fp", "a_fp2").alias("a"), node("b_fp", "b_fp2").alias("b")))
-    # a fingerprint without links is its own component
-    own = node("fp", "fp2")
-    member = distinct.withColumn("_node", own).join(found, F.col("_node") == F.col("node"), "left").withColumn("_root", F.coalesce("root", "_node"))
-    least = member.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    return prints.join(member.join(least, "_root").select(*keys, "component_id"), keys)
-
-
-def one_of_each(docs: DataFrame, k: int = 5, radius: int = 11, radius2: int = 26) -> DataFrame:
-    """The rows of docs, all columns, that have the smallest doc_id of their class; of repeated rows one stays.
-
-    Shingles of k words; two texts are alike if their fingerprints differ in at most radius of the first 64 bits and at
-    most radius2 of 128: for sets of shingles with a Jaccard similarity of 0.8 the expected numbers are 9.7 and 19.4.
-    Rows without an id cannot be named and stay."""
+def classes(prints: DataFrame, radius: int = 4) -> DataFrame:
+    """doc_id, fp and component_id (the smallest doc_id reachable over links) of every row of prints(doc_id, fp);
+    fingerprints that differ in at most radius bits are linked.
+
+    A null id names a component only if that has no others; repeated rows are in one component; no rows give none."""
+    prints, _ = written_at(prints, "fingerprints")
+    nodes = prints.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("_least"))
+    found = named(nodes, links(nodes.select("node", F.col("node").alias("w0")), [Part(0, 0, 64, radius)], radius))
+    return prints.join(found, F.col("fp") == F.col("node")).select("doc_id", "fp", "component_id")
+
+
+def alike(sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b): pairs of nodes of sketches(node, w0, ..., shingles) whose sets of shingles have at least this Jaccard
+    similarity. Candidates are a spanning forest for each block of fingerprints near in any part; each is confirmed."""
+    words = [c for c in sketches.columns if re.fullmatch(r"w\d+", c)]
+    nodes = sketches.select("node", *words).distinct()
+    pairs, _ = written_at(links(nodes, short_parts(len(words)), SKETCH_RADIUS).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets, _ = written_at(sketches.join(needed, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("s")), "shingles")
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    return both.where(shared >= F.lit(similarity) * (F.size("x") + F.size("y") - shared)).select("a", "b")
+
+
+def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, _text (hash of the text), root (names the class) and component_id of every row: texts whose sets of shingles of five words
+    have a Jaccard similarity of at least 0.8 are linked (also two without words), and component_id is the smallest doc_id
+    reachable."""
+    sketches, _ = written_at(with_sketches(docs), "sketches")
+    nodes = sketches.groupBy("node").agg(F.min("doc_id").alias("_least"))
+    found = named(nodes, alike(sketches, similarity))
+    return sketches.select("doc_id", "_text", "node").join(found, "node").select("doc_id", "_text", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of docs, all columns, that have the smallest doc_id of their class of near-duplicates.
+
+    Of repeated rows one stays, and so does one of several texts under one id that are in one class; others under that
+    id are in classes of their own. Rows without an id cannot be named and stay."""
     ids = docs.where("doc_id is not null")
-    found = classes(with_fingerprints(ids, k, more=True), radius, radius2)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    stay = ids.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return stay.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    first = near_classes(ids, similarity).where("doc_id = component_id").groupBy("root", "doc_id", "_text").agg(F.count("*").alias("rows"))
+    first = first.groupBy("root").agg(F.min(F.struct("doc_id", "_text", "rows")).alias("k")).select("k.*")
+    kept, _ = written_at(first, "kept")
+
+    def of(some: DataFrame) -> DataFrame:
+        is_kept = (F.col("d.doc_id") == F.col("k.doc_id")) & (F.xxhash64("d.text") == F.col("k._text"))
+        return ids.alias("d").join(some.alias("k"), is_kept, "left_semi")
+
+    out = of(kept.where("rows = 1")).unionByName(docs.where("doc_id is null"))
+    # only rows that occur several times need a shuffle by text
+    repeated = kept.where("rows > 1")
+    return out if repeated.isEmpty() else out.unionByName(of(repeated).dropDuplicates(["doc_id", "text"]))
