@@ -10,9 +10,11 @@ connected-components job.
 The trees over shards are grown on a bounded sample, but every fingerprint is routed by them. A shard that no vantage
 point divides (a dense cluster) is split into pieces, and each two pieces meet in a block of their own.
 
-Links within a few bits are found by one tree over the whole fingerprint. Where links may be far apart, a bound on the
-whole distance excludes nothing; there, several short parts of a longer fingerprint have a tree each, and what is near in
-any part is compared as a whole and then confirmed by its shingles.
+The bound excludes the less, the wider the links are for the spread of distances: a tree over whole fingerprints of 64
+bits, with links of 4 bits, sends so many guests that five times the documents made 14 times the rows. So each of several
+short parts of the fingerprint has a tree: two that differ in at most 4 bits differ in at most one bit of one of four
+parts (pigeonhole). What is near in a part is compared as a whole; near-duplicates, whose links are too wide for that,
+have more parts in a longer fingerprint, and are confirmed by their shingles.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ SHARD_ROWS, LEAF_ROWS = 8_192, 128
 SAMPLE, LEAST_SAMPLE = 32_768, 16
 #: Pairs that a shard looks at in one step, and links that it holds before it thins them out to a spanning forest.
 STEP_PAIRS, MOST_LINKS = 1 << 21, 1 << 20
+#: Parts of a 64-bit fingerprint with a tree each.
+PARTS = 4
 #: Near-duplicates: words of a shingle, similarity of the sets of shingles, 64-bit words of the longer fingerprint, bits
 #: of a part, bits in which parts may differ, and bits in which whole fingerprints may (at a similarity of 0.8, 29 on
 #: average with a standard deviation of 5; of unrelated texts, 96 with one of 7).
@@ -377,7 +381,7 @@ def classes(prints: DataFrame, radius: int = 4) -> DataFrame:
     A null id names a component only if that has no others; repeated rows are in one component; no rows give none."""
     prints, _ = written_at(prints, "fingerprints")
     nodes = prints.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("_least"))
-    found = named(nodes, links(nodes.select("node", F.col("node").alias("w0")), [Part(0, 0, 64, radius)], radius))
+    found = named(nodes, links(nodes.select("node", F.col("node").alias("w0")), short_parts(1, 64 // PARTS, radius // PARTS), radius))
     return prints.join(found, F.col("fp") == F.col("node")).select("doc_id", "fp", "component_id")
 
 
