@@ -1,9 +1,9 @@
 """Operator 3: document fingerprints as Merkle trees over sections and paragraphs. DataFrame and SQL functions only.
 
-A text is cut at blank lines into sections and these at line ends into paragraphs. A paragraph's hash is that of its
-text, any other node's that of its children's hashes in order, so equal roots mean equal texts, and where roots differ,
-the differing branches lead to the edited paragraphs. Below these, runs of a few words are the leaves: two fingerprints
-are as like as the leaves they share.
+A text is cut at blank lines into sections, these at line ends into paragraphs, and these into leaves, runs of a few words.
+A leaf's hash is that of its words, any other node's that of its children's hashes in order, so equal roots mean equal
+texts, and where roots differ, the differing branches lead to the edited leaves. How like two fingerprints are is found by
+the same descent: what equal branches hold is alike, and of the leaves under branches that differ, the shared ones.
 """
 
 from __future__ import annotations
@@ -16,19 +16,23 @@ from ._common import n_shuffle
 LEAF_WORDS = 8
 
 
-#: A run of up to LEAF_WORDS words of one line, without the space or line end behind it.
-_RUN = r"(?!\z)((?:[^ \n]*+ ){0,%d}+[^ \n]*+)(?:[ \n]|\z)" % (LEAF_WORDS - 1)
+def leaves(text: Column) -> Column:
+    """The text as sections of paragraphs of leaves' hashes."""
 
+    def runs(words: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(words), F.lit(LEAF_WORDS))
+        return F.transform(starts, lambda i: F.sha2(F.array_join(F.slice(words, i, F.lit(LEAF_WORDS)), " "), 256))
 
-def leaves(text: Column) -> Column:
-    """Hashes of the text's runs of LEAF_WORDS words, counted from each line's beginning, once each."""
-    runs = F.array_remove(F.regexp_extract_all(text, F.lit(_RUN), F.lit(1)), "")
-    return F.array_distinct(F.transform(runs, lambda r: F.xxhash64(r)))
+    def of(paragraph: Column) -> Column:
+        # bound by a one-element transform, so that a paragraph is split once
+        return F.get(F.transform(F.array(F.split(paragraph, " ")), runs), 0)
+
+    return F.transform(F.split(text, "\n\n"), lambda s: F.transform(F.split(s, "\n"), of))
 
 
-def paragraphs(text: Column) -> Column:
+def paragraphs(leaves: Column) -> Column:
     """Sections, as arrays of their paragraphs' hashes."""
-    return F.transform(F.split(text, "\n\n"), lambda s: F.transform(F.split(s, "\n"), lambda p: F.sha2(p, 256)))
+    return F.transform(leaves, lambda s: F.transform(s, lambda p: F.sha2(F.array_join(p, ""), 256)))
 
 
 def sections(paragraphs: Column) -> Column:
@@ -41,10 +45,27 @@ def root(sections: Column) -> Column:
     return F.sha2(F.array_join(sections, ""), 256)
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Share of leaves that two texts have in common, of the larger's: 1 for the same leaves (also none), 0 for none in common."""
-    most = F.greatest(F.size(a), F.size(b))
-    return F.when(most == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.greatest(most, F.lit(1)))
+def _unlike(leaves: Column, mine: tuple[Column, Column], other: tuple[Column, Column]) -> Column:
+    """The leaves under paragraphs that differ from the other tree's at their place; (paragraphs, sections) are the hashes
+    of either tree, and only sections that differ are looked into."""
+    (own_paragraphs, own_sections), (paragraphs, sections) = mine, other
+    odd = F.filter(F.sequence(F.lit(0), F.size(own_sections) - 1), lambda i: ~F.get(own_sections, i).eqNullSafe(F.get(sections, i)))
+
+    def within(i: Column) -> Column:
+        return F.flatten(F.filter(F.get(leaves, i), lambda _, j: ~F.get(F.get(own_paragraphs, i), j).eqNullSafe(F.get(F.get(paragraphs, i), j))))
+
+    return F.flatten(F.transform(odd, within))
+
+
+def n_leaves(leaves: Column) -> Column:
+    return F.aggregate(leaves, F.lit(0), lambda n, s: n + F.aggregate(s, F.lit(0), lambda m, p: m + F.size(p)))
+
+
+def likeness(total: Column, own: Column, other: Column) -> Column:
+    """Of a tree with so many leaves: those under equal branches and those, of the leaves under branches that differ (own
+    and the other tree's, once each), that are shared; as a share of the larger tree's. 1 for equal trees."""
+    alike, own_set, other_set = total - F.size(own), F.array_distinct(own), F.array_distinct(other)
+    return (alike + F.size(F.array_intersect(own_set, other_set))) / (alike + F.greatest(F.size(own_set), F.size(other_set)))
 
 
 def differing(a: Column, b: Column, ha: Column, hb: Column) -> Column:
@@ -90,11 +111,10 @@ def edited(text: Column, other: Column) -> Column:
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint, paragraphs, sections and leaves of every row's whole text. A null text counts as empty; other
+    """doc_id, fingerprint, leaves, paragraphs and sections of every row's whole text. A null text counts as empty; other
     columns are not read."""
-    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
-    d = d.select("doc_id", paragraphs(F.col("t")).alias("paragraphs"), leaves(F.col("t")).alias("leaves"))
-    d = d.withColumn("sections", sections(F.col("paragraphs")))
+    d = docs.select("doc_id", leaves(F.coalesce("text", F.lit(""))).alias("leaves"))
+    d = d.withColumn("paragraphs", paragraphs(F.col("leaves"))).withColumn("sections", sections(F.col("paragraphs")))
     return d.withColumn("fingerprint", root(F.col("sections")))
 
 
@@ -104,38 +124,48 @@ def edits(docs: DataFrame) -> DataFrame:
     d = with_next(docs).withColumn("other", edited(F.col("text"), F.col("next_text")))
     d = d.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("other", 256).alias("edited_sha256"),
-        paragraphs(F.col("text")).alias("a"), paragraphs(F.col("other")).alias("b"),
         leaves(F.col("text")).alias("la"), leaves(F.col("other")).alias("lb"), leaves(F.col("next_text")).alias("lc"),
     )
-    d = d.withColumns({"ha": sections(F.col("a")), "hb": sections(F.col("b"))})
+    d = d.withColumns({x: paragraphs(F.col(f"l{x}")) for x in "abc"})
+    d = d.withColumns({f"h{x}": sections(F.col(x)) for x in "abc"})
+    tree = {x: (F.col(x), F.col(f"h{x}")) for x in "abc"}
+    d = d.withColumns({f"u{x}{y}": _unlike(F.col(f"l{x}"), tree[x], tree[y]) for x, y in ("ab", "ba", "ac", "ca")}).withColumn("n", n_leaves(F.col("la")))
     d = d.withColumn("odd", differing(F.col("a"), F.col("b"), F.col("ha"), F.col("hb")))
     return d.select(
         "doc_id", "n_chars", "edited_sha256", root(F.col("ha")).alias("fingerprint"), root(F.col("hb")).alias("edited_fingerprint"),
-        likeness(F.col("la"), F.col("lb")).alias("near_edited"), likeness(F.col("la"), F.col("lc")).alias("near_next"),
+        likeness(F.col("n"), F.col("uab"), F.col("uba")).alias("near_edited"), likeness(F.col("n"), F.col("uac"), F.col("uca")).alias("near_next"),
         F.get("odd", 0)["section"].alias("first_section"), F.get("odd", 0)["paragraph"].alias("first_paragraph"), F.size("odd").alias("n_branches"),
     )
 
 
-#: The same for DuckDB, with leaves compared as they are.
+#: The same for DuckDB.
 ORACLE_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 n AS (SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id NULLS LAST, text), first_value(text) OVER (ORDER BY doc_id NULLS LAST, text)) AS nxt FROM d),
 e AS (SELECT *, left(text, length(text) - length(text) // 4) || left(nxt, length(text) // 4) AS other FROM n),
-x AS (SELECT *,
-  list_transform(string_split(text, '\n\n'), lambda s: string_split(s, '\n')) AS a,
-  list_transform(string_split(other, '\n\n'), lambda s: string_split(s, '\n')) AS b,
-  list_transform(string_split(nxt, '\n\n'), lambda s: string_split(s, '\n')) AS c FROM e),
+w AS (SELECT *,
+  list_transform(string_split(text, '\n\n'), lambda s: list_transform(string_split(s, '\n'), lambda p: string_split(p, ' '))) AS wa,
+  list_transform(string_split(other, '\n\n'), lambda s: list_transform(string_split(s, '\n'), lambda p: string_split(p, ' '))) AS wb,
+  list_transform(string_split(nxt, '\n\n'), lambda s: list_transform(string_split(s, '\n'), lambda p: string_split(p, ' '))) AS wc FROM e),
+l AS (SELECT *,
+  list_transform(wa, lambda s: list_transform(s, lambda p: list_transform(range(0, (len(p) + 7) // 8), lambda i: sha256(array_to_string(p[i * 8 + 1 : i * 8 + 8], ' '))))) AS la,
+  list_transform(wb, lambda s: list_transform(s, lambda p: list_transform(range(0, (len(p) + 7) // 8), lambda i: sha256(array_to_string(p[i * 8 + 1 : i * 8 + 8], ' '))))) AS lb,
+  list_transform(wc, lambda s: list_transform(s, lambda p: list_transform(range(0, (len(p) + 7) // 8), lambda i: sha256(array_to_string(p[i * 8 + 1 : i * 8 + 8], ' '))))) AS lc FROM w),
 h AS (SELECT *,
-  list_transform(a, lambda s: list_transform(s, lambda p: sha256(p))) AS ha, list_transform(b, lambda s: list_transform(s, lambda p: sha256(p))) AS hb,
-  list_filter(list_distinct(flatten(list_transform(flatten(a), lambda p: list_transform(range(0, (len(string_split(p, ' ')) - 1) // 8 + 1), lambda i: array_to_string(string_split(p, ' ')[i * 8 + 1 : i * 8 + 8], ' '))))), lambda x: x <> '') AS la,
-  list_filter(list_distinct(flatten(list_transform(flatten(b), lambda p: list_transform(range(0, (len(string_split(p, ' ')) - 1) // 8 + 1), lambda i: array_to_string(string_split(p, ' ')[i * 8 + 1 : i * 8 + 8], ' '))))), lambda x: x <> '') AS lb,
-  list_filter(list_distinct(flatten(list_transform(flatten(c), lambda p: list_transform(range(0, (len(string_split(p, ' ')) - 1) // 8 + 1), lambda i: array_to_string(string_split(p, ' ')[i * 8 + 1 : i * 8 + 8], ' '))))), lambda x: x <> '') AS lc FROM x),
+  list_transform(la, lambda s: list_transform(s, lambda p: sha256(array_to_string(p, '')))) AS ha,
+  list_transform(lb, lambda s: list_transform(s, lambda p: sha256(array_to_string(p, '')))) AS hb,
+  list_transform(lc, lambda s: list_transform(s, lambda p: sha256(array_to_string(p, '')))) AS hc FROM l),
 o AS (SELECT *, flatten(list_transform(range(0, greatest(len(ha), len(hb))), lambda i: list_transform(
-  list_filter(range(0, greatest(coalesce(len(ha[i + 1]), 0), coalesce(len(hb[i + 1]), 0))), lambda j: ha[i + 1][j + 1] IS DISTINCT FROM hb[i + 1][j + 1]), lambda j: [i, j]))) AS odd FROM h)
+  list_filter(range(0, greatest(coalesce(len(ha[i + 1]), 0), coalesce(len(hb[i + 1]), 0))), lambda j: ha[i + 1][j + 1] IS DISTINCT FROM hb[i + 1][j + 1]), lambda j: [i, j]))) AS odd,
+  flatten(list_transform(range(0, len(ha)), lambda i: flatten(list_transform(list_filter(range(0, len(ha[i + 1])), lambda j: ha[i + 1][j + 1] IS DISTINCT FROM hb[i + 1][j + 1]), lambda j: la[i + 1][j + 1])))) AS uab,
+  flatten(list_transform(range(0, len(hb)), lambda i: flatten(list_transform(list_filter(range(0, len(hb[i + 1])), lambda j: hb[i + 1][j + 1] IS DISTINCT FROM ha[i + 1][j + 1]), lambda j: lb[i + 1][j + 1])))) AS uba,
+  flatten(list_transform(range(0, len(ha)), lambda i: flatten(list_transform(list_filter(range(0, len(ha[i + 1])), lambda j: ha[i + 1][j + 1] IS DISTINCT FROM hc[i + 1][j + 1]), lambda j: la[i + 1][j + 1])))) AS uac,
+  flatten(list_transform(range(0, len(hc)), lambda i: flatten(list_transform(list_filter(range(0, len(hc[i + 1])), lambda j: hc[i + 1][j + 1] IS DISTINCT FROM ha[i + 1][j + 1]), lambda j: lc[i + 1][j + 1])))) AS uca,
+  len(flatten(flatten(la))) AS n FROM h)
 SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(other) AS edited_sha256,
   sha256(array_to_string(list_transform(ha, lambda s: sha256(array_to_string(s, ''))), '')) AS fingerprint,
   sha256(array_to_string(list_transform(hb, lambda s: sha256(array_to_string(s, ''))), '')) AS edited_fingerprint,
-  CASE WHEN greatest(len(la), len(lb)) = 0 THEN 1 ELSE len(list_intersect(la, lb))::DOUBLE / greatest(len(la), len(lb)) END AS near_edited,
-  CASE WHEN greatest(len(la), len(lc)) = 0 THEN 1 ELSE len(list_intersect(la, lc))::DOUBLE / greatest(len(la), len(lc)) END AS near_next,
+  (n - len(uab) + len(list_intersect(uab, uba)))::DOUBLE / (n - len(uab) + greatest(len(list_distinct(uab)), len(list_distinct(uba)))) AS near_edited,
+  (n - len(uac) + len(list_intersect(uac, uca)))::DOUBLE / (n - len(uac) + greatest(len(list_distinct(uac)), len(list_distinct(uca)))) AS near_next,
   odd[1][1]::INT AS first_section, odd[1][2]::INT AS first_paragraph, len(odd)::INT AS n_branches
 FROM o"""

@@ -1,11 +1,11 @@
 """Operator 5: mixing sources to target weights with a multivariate-hypergeometric splitting tree. DataFrame and SQL functions only.
 
-Each source's documents stand in a line in random (hashed) order, one word after the other, and the line repeats. It is
-cut into blocks of equal numbers of words; the source's quota is the first so many blocks. A splitting tree shares the
-quotas out among output shards: each node's blocks are halved, and how many of each source go left is drawn from the
+Each source's documents stand in a line in random (hashed) order, one word after the other. The line is cut into blocks
+of equal numbers of words and may be passed over twice; the source's quota is a number of blocks. A splitting tree shares
+the quotas out among output shards: each node's blocks are halved, and how many of each source go left is drawn from the
 multivariate hypergeometric distribution, one source after the other. So every shard has its exact number of blocks, as
 if all blocks had been shuffled together, but nothing larger than the table of quotas is looked at to decide it. Shards
-take their disjoint runs of blocks and shuffle them locally.
+draw disjoint runs of each pass's permuted blocks and shuffle them locally.
 """
 
 from __future__ import annotations
@@ -19,8 +19,12 @@ WEIGHTS = (3, 1, 2)
 RATIO, CAP = 1.5, 2.0
 BLOCK_WORDS = 256
 #: Blocks that an output shard should hold; documents of a source that a task puts in line at a time.
-SHARD_BLOCKS, LINE_DOCS = 16_384, 2_000
+SHARD_BLOCKS, LINE_DOCS = 1_024, 2_000
+#: Levels of the splitting tree that one task grows; below, its nodes are dealt to tasks.
+TOP_LEVELS = 10
 SEED = 17
+#: Fixed value: a prime, for a permutation of a pass's blocks.
+STRIDE = 2_654_435_761
 
 
 def n_words(text: Column) -> Column:
@@ -80,6 +84,8 @@ def split_tree(quotas: DataFrame, levels: int, seed: int = SEED) -> DataFrame:
     left = f"aggregate(q, {start}, (a, k) -> element_at(transform(array({draw}), d -> {step}), 1), a -> a.left)"
     nodes = quotas.selectExpr("0L as shard", "keys", "q")
     for level in range(levels):
+        if level == TOP_LEVELS:
+            nodes = nodes.repartition("shard")
         nodes = nodes.selectExpr("shard", "keys", "q", f"{level} as level", "aggregate(q, 0L, (a, k) -> a + k) as total")
         nodes = nodes.selectExpr("shard", "keys", "q", f"{left} as l")
         nodes = nodes.selectExpr(
@@ -98,7 +104,7 @@ def levels_for(target_words: float) -> int:
 
 def mix(docs: DataFrame, seed: int = SEED, ratio: float = RATIO, cap: float = CAP, weights: tuple[float, ...] = WEIGHTS) -> tuple[DataFrame, DataFrame]:
     """(rows, pieces). Rows: every row of docs with _row (its number), size, source_size, target. Pieces: _row, pass (0 or
-    1), from_word, words, shard, _order (its place in the shard, by size).
+    1), block, from_word, words, shard, _order (its place in the shard).
 
     Null texts and texts without words have size 0 and no pieces; null is a source of its own, the last; repeated rows
     are rows of their own, and no row gives more than cap times its words; no rows give none."""
@@ -133,49 +139,83 @@ def _few(goals: DataFrame, most: int = 10_000) -> bool:
     return goals.select("_key").limit(most + 1).count() <= most
 
 
-def pieces(rows: DataFrame, goals: DataFrame, seed: int = SEED) -> DataFrame:
-    quota = F.round("target").cast("long")
-    ordered = goals.select("_key", quota.alias("quota"), F.ceil(quota / F.lit(BLOCK_WORDS)).alias("blocks"))
+def quotas(goals: DataFrame) -> DataFrame:
+    """_key, source_size, in_pass (blocks of one pass), blocks (the quota), spare (words that the last block drawn leaves
+    out, so that the words taken are the target, rounded)."""
+    words = F.round("target").cast("long")
+    most, size = F.lit(BLOCK_WORDS), F.col("source_size")
+    first = F.least(words, size)
+    blocks = F.ceil(first / most) + F.ceil((words - first) / most)
+    # all blocks of a pass are full but its last, which is drawn last
+    drawn = F.least(F.ceil(first / most) * most, size) + F.least(F.ceil((words - first) / most) * most, size)
+    return goals.select("_key", "source_size", F.ceil(size / most).alias("in_pass"), blocks.alias("blocks"), (drawn - words).alias("spare"))
+
+
+def drawn_blocks(goals: DataFrame, seed: int = SEED) -> DataFrame:
+    """shard, _key, pass, block, _words (as many as are taken from the block's beginning) of every block drawn."""
+    table = quotas(goals)
     total = goals.agg(F.sum("target")).first()[0] or 0.0
-    lists = ordered.agg(F.array_sort(F.collect_list(F.struct("_key", "blocks"))).alias("s")).selectExpr("transform(s, x -> x._key) as keys", "transform(s, x -> x.blocks) as q")
+    lists = table.agg(F.array_sort(F.collect_list(F.struct("_key", "blocks"))).alias("s")).selectExpr("transform(s, x -> x._key) as keys", "transform(s, x -> x.blocks) as q")
     leaves = split_tree(lists, levels_for(total), seed)
     shares = leaves.select("shard", F.explode(F.arrays_zip("keys", "q")).alias("x")).select("shard", F.col("x.keys").alias("_key"), F.col("x.q").alias("n"))
     first = F.coalesce(F.sum("n").over(Window.partitionBy("_key").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    blocks = shares.withColumn("first", first).where("n > 0").select("_key", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("_block"))
-    # where each row's words lie in the repeated line, as far as the quota goes
-    passes = rows.where("size > 0").select("_row", "_key", "size", quota.alias("_quota"), F.explode(F.array(F.lit(0), F.lit(1))).alias("pass"), F.col("source_size").alias("_whole"), "_at")
-    a = F.col("_at") + F.col("pass") * F.col("_whole")
-    passes = passes.withColumn("_from", a).withColumn("_to", F.least(a + F.col("size"), F.col("_quota"))).where("_from < _to")
-    cut = passes.withColumn("_block", F.explode(F.sequence(F.expr(f"_from div {BLOCK_WORDS}"), F.expr(f"(_to - 1) div {BLOCK_WORDS}"))))
-    lo = F.greatest("_from", F.col("_block") * BLOCK_WORDS)
-    hi = F.least("_to", (F.col("_block") + 1) * BLOCK_WORDS)
-    return cut.join(blocks.hint("merge"), ["_key", "_block"]).select(
-        "_row", "pass", (lo - F.col("_from")).alias("from_word"), (hi - lo).alias("words"), "shard",
-        F.struct(F.xxhash64(F.lit(seed + 1), "shard", "_key", "_block").alias("h"), "_key", "_block", lo.alias("at")).alias("_order"),
+    places = shares.withColumn("first", first).where("n > 0").select("_key", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("_place"))
+    places = places.join(F.broadcast(table) if _few(goals) else table, "_key")
+    # each pass has a permutation of its own, of which the last place is the last block
+    stride = f"if(in_pass % {STRIDE} = 0, 1, {STRIDE})"
+    places = places.selectExpr("*", "_place div in_pass as pass").selectExpr("*", f"pmod(({stride}) * (_place % in_pass + 1) - 1, in_pass) as block")
+    full = F.least(F.lit(BLOCK_WORDS), F.col("source_size") - F.col("block") * BLOCK_WORDS)
+    return places.select("shard", "_key", F.col("pass").cast("int").alias("pass"), "block", (full - F.when(F.col("_place") == F.col("blocks") - 1, F.col("spare")).otherwise(0)).alias("_words"))
+
+
+def pieces(rows: DataFrame, goals: DataFrame, seed: int = SEED) -> DataFrame:
+    blocks = drawn_blocks(goals, seed)
+    cut = rows.where("size > 0").select("_row", "_key", "_at", "size", F.explode(F.array(F.lit(0), F.lit(1))).alias("pass"))
+    cut = cut.withColumn("block", F.explode(F.sequence(F.expr(f"_at div {BLOCK_WORDS}"), F.expr(f"(_at + size - 1) div {BLOCK_WORDS}"))))
+    start = F.col("block") * BLOCK_WORDS
+    lo, hi = F.greatest("_at", start), F.least(F.col("_at") + F.col("size"), start + F.col("_words"))
+    found = cut.join(blocks.hint("merge"), ["_key", "pass", "block"]).where(lo < hi)
+    return found.select(
+        "_row", "pass", "block", (lo - F.col("_at")).alias("from_word"), (hi - lo).alias("words"), "shard",
+        F.struct(F.xxhash64(F.lit(seed + 1), "shard", "_key", "pass", "block").alias("h"), "_key", "pass", "block", lo.alias("at")).alias("_order"),
     )
 
 
 def taken(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target and taken (words that the mix takes) of every row."""
+    """doc_id, size, source_size, target, taken (words that the mix takes) of every row, and the pieces taken: shard, pass,
+    block, from_word and words."""
     rows, parts = mix(docs)
-    got = parts.groupBy("_row").agg(F.sum("words").alias("taken"))
-    return rows.join(got, "_row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    piece = F.struct("shard", "pass", "block", "from_word", "words")
+    got = parts.groupBy("_row").agg(F.sum("words").alias("taken"), F.array_sort(F.collect_list(piece)).alias("pieces"))
+    out = rows.join(got, "_row", "left")
+    return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "pieces")
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    """The mix as rows of docs, all columns: a row once for each pass that takes words of it. A row that a quota's end
-    cuts has the taken words only, from its first to its last taken one."""
+def mixed_pieces(docs: DataFrame) -> DataFrame:
+    """The mix as rows of docs, all columns, one for each piece, with _run: its shard, _order in it, from_word, words and
+    the size of its row. Text is that of the piece, with the white space before its words; pieces of all words of a text
+    are the text."""
     rows, parts = mix(docs)
-    runs = parts.groupBy("_row", "pass").agg(F.min("from_word").alias("a"), F.max(F.col("from_word") + F.col("words")).alias("b"), F.min_by("shard", "from_word").alias("shard"))
-    runs = rows.join(runs, "_row").groupBy("doc_id", "_text").agg(F.collect_list(F.struct("a", "b", "size", "shard", "pass")).alias("_runs"))
+    run = F.struct("shard", "_order", "from_word", "words", "size")
+    runs = rows.select("_row", "doc_id", "_text", "size").join(parts, "_row").groupBy("doc_id", "_text").agg(F.collect_list(run).alias("_runs"))
     # repeated rows are one row with the runs of all
     keyed = docs.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).alias("d")
     out = keyed.join(runs.alias("r"), F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d._text") == F.col("r._text")))
-    out = out.select("d.*", F.explode("r._runs").alias("_run"))
-    words = F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), (F.col("_run.a") + 1).cast("int"), (F.col("_run.b") - F.col("_run.a")).cast("int"))
-    whole = (F.col("_run.a") == 0) & (F.col("_run.b") == F.col("_run.size"))
-    out = out.withColumn("text", F.when(whole, F.col("text")).otherwise(F.array_join(words, " ")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    # each shard's rows together, in hashed order
-    return out.repartition("_run.shard").sortWithinPartitions("_run.shard", F.xxhash64(F.lit(SEED + 2), "doc_id", "_text", "_run.pass")).select(*docs.columns)
+    tokens = F.regexp_extract_all("text", F.lit("[\\x20\\x09-\\x0D]*" + WORD), F.lit(0))
+
+    def cut(t: Column, r: Column) -> Column:
+        whole = (r["from_word"] == 0) & (r["words"] == r["size"])
+        part = F.array_join(F.slice(t, (r["from_word"] + 1).cast("int"), r["words"].cast("int")), "")
+        return F.struct(r.alias("run"), F.when(whole, F.col("d.text")).otherwise(part).alias("text"))
+
+    # the text is cut into words once, whatever the number of its pieces
+    cuts = F.flatten(F.transform(F.array(tokens), lambda t: F.transform(F.col("r._runs"), lambda r: cut(t, r))))
+    out = out.select("d.*", F.explode(cuts).alias("_cut"))
+    out = out.select(*[F.col("_cut.text").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns], F.col("_cut.run").alias("_run"))
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """The mix as rows of docs, all columns: a row for each piece of a text that a block takes, each shard's rows together,
+    shuffled by blocks."""
+    return mixed_pieces(docs).repartition("_run.shard").sortWithinPartitions("_run.shard", "_run._order").select(*docs.columns)

@@ -30,12 +30,34 @@ def test_merkle_edits(docs):
     assert len(set(prints.values())) == len(set(texts)) and [prints[t] for t in texts] == [r["fingerprint"] for r in rows]
 
 
+def plain_near(x, y):
+    """Likeness by walking both trees of leaves."""
+    tree = lambda t: [[[" ".join(p.split(" ")[i : i + 8]) for i in range(0, len(p.split(" ")), 8)] for p in s.split("\n")] for s in t.split("\n\n")]
+    a, b = tree(x), tree(y)
+    at = lambda t, i, j: t[i][j] if i < len(t) and j < len(t[i]) else None
+    unlike = lambda t, u: [r for i, s in enumerate(t) for j, p in enumerate(s) if p != at(u, i, j) for r in p]
+    own, other = unlike(a, b), unlike(b, a)
+    alike = sum(len(p) for s in a for p in s) - len(own)
+    return (alike + len(set(own) & set(other))) / (alike + max(len(set(own)), len(set(other))))
+
+
+def test_merkle_likeness_equals_a_walk(spark):
+    rng = random.Random(6)
+    texts = ["", "a", "\n\n", " ", *(("".join(rng.choice(["w ", "v ", "u\n", "x\n\n", "y"]) for _ in range(rng.randint(1, 90)))) for _ in range(30))]
+    rows = merkle.edits(table(spark, texts)).orderBy("doc_id").collect()
+    for i, r in enumerate(rows):
+        t, nxt = texts[i], texts[(i + 1) % len(texts)]
+        q = len(t) // 4
+        assert r["near_edited"] == pytest.approx(plain_near(t, t[: len(t) - q] + nxt[:q])), t
+        assert r["near_next"] == pytest.approx(plain_near(t, nxt)), t
+
+
 def test_merkle_branches(spark):
     a, b = "s1 p1\ns1 p2\n\ns2 p1", "s1 p1\nchanged\n\ns2 p1\nmore"
     d = merkle.fingerprint(table(spark, [a, b, a])).orderBy("doc_id").collect()
     assert d[0]["fingerprint"] == d[2]["fingerprint"] != d[1]["fingerprint"]
     t = spark.createDataFrame([(a, b)], "x string, y string")
-    pa, pb = merkle.paragraphs(F.col("x")), merkle.paragraphs(F.col("y"))
+    pa, pb = (merkle.paragraphs(merkle.leaves(F.col(c))) for c in "xy")
     got = t.select(merkle.differing(pa, pb, merkle.sections(pa), merkle.sections(pb)).alias("d")).first()["d"]
     assert [tuple(x) for x in got] == [(0, 1), (1, 1)]
 
@@ -122,6 +144,33 @@ def test_mixing_targets_and_takes(docs, monkeypatch):
         assert abs(sum(r["taken"] for r in own) - target) <= 1 and all(0 <= r["taken"] <= 2 * r["size"] for r in own)
 
 
+def test_shards_hold_what_the_tree_drew(docs, monkeypatch):
+    """Each shard's blocks of each source are as many as the leaf's quota, no block is drawn twice, and the mixed rows hold
+    just their words."""
+    monkeypatch.setattr(mixing, "SHARD_BLOCKS", 8)
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 16)
+    sized = docs.select("doc_id", mixing.source_key(F.col("source")).alias("_key"), mixing.n_words(F.col("text")).alias("size"))
+    goals = mixing.targets(sized)
+    quota = {r["_key"]: r["blocks"] for r in mixing.quotas(goals).collect()}
+    base = docs.sparkSession.createDataFrame([(sorted(quota), [quota[k] for k in sorted(quota)])], "keys array<string>, q array<bigint>")
+    levels = mixing.levels_for(sum(r["target"] for r in goals.collect()))
+    tree = {(r["shard"], k): q for r in mixing.split_tree(base, levels).collect() for k, q in zip(r["keys"], r["q"]) if q}
+    drawn = mixing.drawn_blocks(goals).collect()
+    assert levels > 2 and {k: sum((b["shard"], b["_key"]) == k for b in drawn) for k in tree} == tree
+    assert len({(b["_key"], b["pass"], b["block"]) for b in drawn}) == len(drawn) == sum(tree.values())
+    words = {}
+    for b in drawn:
+        words[b["shard"], b["_key"]] = words.get((b["shard"], b["_key"]), 0) + b["_words"]
+    got = {}
+    for r in mixing.mixed_pieces(docs).collect():
+        key = r["_run"]["shard"], "1" if r["source"] is None else "0" + r["source"]
+        assert len(r["text"].split()) == r["_run"]["words"] and r["n_chars"] == len(r["text"])
+        got[key] = got.get(key, 0) + r["_run"]["words"]
+    assert got == words
+    whole = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert all(r["text"] in whole[r["doc_id"]] for r in mixing.mixed(docs).collect())
+
+
 def test_split_tree_is_exact(spark):
     q = [1000, 3, 0, 77, 20_000]
     base = spark.createDataFrame([(list("abcde"), q)], "keys array<string>, q array<bigint>")
