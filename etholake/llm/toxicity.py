@@ -85,13 +85,15 @@ def _runs(text: bytes) -> np.ndarray:
 
 
 class _Telling:
-    """In how many texts of each class and fold a run of bytes occurs."""
+    """In how many texts of each class and fold a run of bytes occurs, of those that toxic texts have."""
 
     def __init__(self, texts: list[bytes], group: np.ndarray, n_groups: int) -> None:
-        own = [np.unique(_runs(t)) for t in texts]
-        self.runs, at = np.unique(np.concatenate([*own, np.zeros(0, np.uint64)]), return_inverse=True)
-        where = at * n_groups + np.repeat(group, [len(x) for x in own])
-        self.counts = np.bincount(where, minlength=len(self.runs) * n_groups).reshape(-1, n_groups)
+        self.runs = np.unique(np.concatenate([np.unique(_runs(t)) for t, g in zip(texts, group) if g % 2] + [np.zeros(1, np.uint64)]))
+        self.counts = np.zeros((len(self.runs), n_groups), dtype=np.int32)
+        for t, g in zip(texts, group):
+            own = np.unique(_runs(t))
+            at = np.minimum(np.searchsorted(self.runs, own), len(self.runs) - 1)
+            self.counts[at[self.runs[at] == own], g] += 1
 
     def runs_of(self, toxic: np.ndarray, ordinary: np.ndarray, n_toxic: int, n_ordinary: int) -> np.ndarray:
         a, b = self.counts[:, toxic].sum(1), self.counts[:, ordinary].sum(1)
