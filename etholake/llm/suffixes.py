@@ -15,6 +15,11 @@ suffixes of a corpus would shuffle many times the corpus, so the suffix array is
    than one suffix are refined by the bucket pointers of the suffixes 8, 16 and 18 places on, with each round's pointers
    used by the next, up to depth 50. Comparison is exact.
 4. The intervals found are cut out of the texts.
+
+A q-gram that very many documents have, with ever other surroundings, would fill one bucket. A sample finds such hot
+q-grams. Their anchors go another way: every string of MATCH bytes around them to the bucket of the string, by its 128-bit
+hash and after equal ones in a task are settled by their bytes, so that no bucket has more than a string's own rows, of
+which each task sends one.
 """
 
 from __future__ import annotations
@@ -40,6 +45,8 @@ CHUNK_BYTES, CHUNK_DOCS = 3 << 20, 60_000
 FINER = 4
 #: Text that one group of documents should hold.
 PART_BYTES = 24 << 20
+#: A q-gram is hot from so many anchors on, by the estimate of a sample of one in so many documents.
+HOT_ANCHORS, HOT_ONE_IN = 50_000, 64
 NULL_ID = np.iinfo(np.int64).max
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _PRIME = (1 << 31) - 1
@@ -174,19 +181,63 @@ ENTRY = ("<u4", "<u8", "<u2", "<u2", "<i8", "<u4", "<u2", "<u2")
 FOUND = ("<i8", "<u4", "<u4", "<u4")
 SENT = "bucket int, kind int, payload binary"
 ANSWER = "part int, kind int, payload binary"
-#: Kinds of rows: anchors; intervals settled; anchors to be settled byte by byte.
-ANCHORS, SETTLED, OPEN = 0, 1, 2
+#: Kinds of rows: anchors; intervals settled; anchors to be settled byte by byte; strings around anchors of hot q-grams.
+ANCHORS, SETTLED, OPEN, STRINGS = 0, 1, 2, 3
+STRING = ("<u8", "<u8", "<i8", "<u4", "<u4")
+#: Where the words of a string of MATCH bytes begin.
+_WORDS_WITHIN = (0, 8, 16, 24, 32, 40, 42)
 
 
 def _interval(place: np.ndarray, length: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum(place - SPREAD, 0), np.minimum(place + MATCH, length)
 
 
-def _send(ids: np.ndarray, texts: list[bytes], n: int) -> pa.RecordBatch:
+def _strings(x: Layout, ids: np.ndarray, keys: np.ndarray, doc: np.ndarray, place: np.ndarray, n: int) -> list[tuple[int, int, bytes]]:
+    """The strings of MATCH bytes around these anchors by bucket, of equal ones the least id's, and what that settles."""
+    first = np.maximum(place - SPREAD, 0)
+    count = np.minimum(place, x.lengths[doc] - MATCH) - first + 1
+    start = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+    doc, start = np.divmod(np.unique(np.repeat(doc, count) << 32 | start), 1 << 32)
+    at, d = x.starts[doc] + start, ids[doc]
+    h, g = np.zeros(len(at), np.uint64), np.ones(len(at), np.uint64)
+    for o in _WORDS_WITHIN:
+        h = mix64((h ^ x.words[at + o]) * _K[0])
+        g = mix64((g + x.words[at + o]) * _K[1])
+    order = np.lexsort((d, g, h))
+    h, g, d, at, doc, start = (c[order] for c in (h, g, d, at, doc, start))
+    new = np.concatenate([[True], (h[1:] != h[:-1]) | (g[1:] != g[:-1])])
+    leader = np.flatnonzero(new)[np.cumsum(new) - 1]
+    gone = d > d[leader]
+    for o in _WORDS_WITHIN:
+        gone &= x.words[at + o] == x.words[at[leader] + o]
+    k, a = keys[doc], start.astype("<u4")
+    rows = [(int(keys[0] % n), SETTLED, _dump(d=d[gone], k=k[gone], a=a[gone], b=a[gone] + np.uint32(MATCH)))] if gone.any() else []
+    stay = np.flatnonzero(~gone)
+    for b, i in _by((h[stay] % np.uint64(n)).astype(np.int64), n):
+        j = stay[i]
+        rows.append((b, STRINGS, _dump(h=h[j], g=g[j], d=d[j], k=k[j], a=a[j])))
+    return rows
+
+
+def _repeated_strings(blobs: list[bytes]) -> bytes:
+    """What the strings of a bucket settle: those that a smaller id has too."""
+    h, g, d, k, a = _loaded(blobs, STRING)
+    order = np.lexsort((d, g, h))
+    h, g, d, k, a = (c[order] for c in (h, g, d, k, a))
+    new = np.concatenate([[True], (h[1:] != h[:-1]) | (g[1:] != g[:-1])])
+    gone = d > d[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    return _dump(d=d[gone], k=k[gone], a=a[gone], b=a[gone] + np.uint32(MATCH))
+
+
+def _send(ids: np.ndarray, texts: list[bytes], n: int, hot: np.ndarray) -> pa.RecordBatch:
     """A chunk's anchors by bucket, one of equal ones (the least id's), and what that settles."""
     x = Layout(texts)
     keys = np.fromiter(map(zlib.crc32, texts), dtype=np.uint32, count=len(texts))
     doc, place, h = anchors(x)
+    rows: list[tuple[int, int, bytes]] = []
+    if len(hot) and (often := np.isin(h, hot)).any():
+        rows += _strings(x, ids, keys, doc[often], place[often], n)
+        doc, place, h = doc[~often], place[~often], h[~often]
     whole, left, right = _around(x, doc, place)
     d = ids[doc]
     same = mix64(h) ^ whole
@@ -198,7 +249,6 @@ def _send(ids: np.ndarray, texts: list[bytes], n: int) -> pa.RecordBatch:
     settled = np.sort(order[_same(x, doc, place, order, leader)])
     go = np.ones(len(d), dtype=bool)
     go[settled] = False
-    rows: list[tuple[int, int, bytes]] = []
     if len(settled):
         a, b = _interval(place[settled], x.lengths[doc[settled]])
         rows.append((int(zlib.crc32(texts[0]) % n), SETTLED, _dump(d=d[settled], k=keys[doc[settled]], a=a.astype("<u4"), b=b.astype("<u4"))))
@@ -235,6 +285,8 @@ def _bucket(t: pa.Table, n: int) -> pa.Table:
         shares |= (count[inverse] > 1) & (half[at] > 0)
     open_ = (several | shares)[group] if len(group) else np.zeros(0, bool)
     rows = [(0, SETTLED, b) for b, x in zip(blobs, kinds) if x == SETTLED]
+    if strings := [b for b, x in zip(blobs, kinds) if x == STRINGS]:
+        rows.append((0, SETTLED, _repeated_strings(strings)))
     sd, sk, sa, sb = _loaded([b for *_, b in rows], FOUND)
     out = [(p, SETTLED, _dump(d=sd[i], k=sk[i], a=sa[i], b=sb[i])) for p, i in _by(_parts(sd, n), n)]
     od, ok, op = d[open_], k[open_], place[open_].astype("<u4")
@@ -382,6 +434,37 @@ def _cut(docs: pa.Table, found: pa.Table) -> pa.Table:
     return out
 
 
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """(ids, texts) of about CHUNK_BYTES each."""
+    ids: list[int] = []
+    texts: list[bytes] = []
+    size = 0
+    for b in batches:
+        for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
+            ids.append(NULL_ID if d is None else d)
+            texts.append(t or b"")
+            size += len(texts[-1])
+            if size >= CHUNK_BYTES or len(texts) >= CHUNK_DOCS:
+                yield np.array(ids, dtype=np.int64), texts
+                ids, texts, size = [], [], 0
+    if texts:
+        yield np.array(ids, dtype=np.int64), texts
+
+
+def hot_grams(named: DataFrame) -> np.ndarray:
+    """Hashes of the q-grams that have HOT_ANCHORS anchors or more, as estimated from one in HOT_ONE_IN documents. Which
+    they are decides only the way they go; there are at most as many as all anchors make groups of HOT_ANCHORS."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in _chunked(batches):
+            h, n = np.unique(anchors(Layout(texts))[2], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+
+    some = named.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(HOT_ONE_IN)) == 0)
+    many = some.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT_ANCHORS / HOT_ONE_IN)
+    return np.array(sorted(r["h"] for r in many.select("h").collect()), dtype=np.int64).view(np.uint64)
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The rows of docs, all columns, with _n_bytes, _n_removed, _n_spans (maximal removed runs), _kept (the bytes left)
     and _sha256 of these.
@@ -392,22 +475,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(n_shuffle(docs.sparkSession), -(-total // PART_BYTES))
 
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    hot = hot_grams(named)
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list[int] = []
-        texts: list[bytes] = []
-        size = 0
-        for b in batches:
-            for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
-                ids.append(NULL_ID if d is None else d)
-                texts.append(t or b"")
-                size += len(texts[-1])
-                if size >= CHUNK_BYTES or len(texts) >= CHUNK_DOCS:
-                    yield _send(np.array(ids, dtype=np.int64), texts, n)
-                    ids, texts, size = [], [], 0
-        if texts:
-            yield _send(np.array(ids, dtype=np.int64), texts, n)
+        for ids, texts in _chunked(batches):
+            yield _send(ids, texts, n, hot)
 
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = written(named.mapInArrow(send, SENT).groupBy("bucket").applyInArrow(lambda t: _bucket(t, n), ANSWER), "repeats")
     # the documents by group, dealt once and read twice
     dealt = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("_part", part_of(F.col("doc_id"), n))

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from etholake.llm import suffixes
-from tests.llm.conftest import corpus, table
+from tests.llm.conftest import table
 
 
 def brute(rows):
@@ -63,7 +63,7 @@ def test_equal_hashes_settle_nothing(monkeypatch):
     core = bytes(range(65, 115))
     texts = [b"a" * 9 + core + b"b" * 9, b"c" * 9 + core + b"d" * 9]
     for other, settled in ((texts[1], False), (texts[0], True)):
-        sent = suffixes._send(np.array([1, 2]), [texts[0], other], 1)
+        sent = suffixes._send(np.array([1, 2]), [texts[0], other], 1, np.zeros(0, np.uint64))
         found = suffixes._bucket(pa.Table.from_batches([sent]), 1)
         assert (suffixes.SETTLED in found.column("kind").to_pylist()) == settled
 
@@ -93,5 +93,17 @@ def test_bucket_pointers():
     assert len(set(names.values())) == len(names) and len(at) == sum(s - 49 for s in size)
 
 
-def test_corpus_differs_by_seed():
-    assert corpus(1) != corpus(2)
+
+@pytest.mark.parametrize("least", [3, 40])
+def test_hot_grams_go_another_way(spark, docs, monkeypatch, least):
+    """With strings instead of buckets for frequent q-grams, the result is the same."""
+    monkeypatch.setattr(suffixes, "HOT_ANCHORS", least)
+    monkeypatch.setattr(suffixes, "HOT_ONE_IN", 1)
+    assert len(suffixes.hot_grams(docs.select("doc_id", "text"))) > 0 or least > 3
+    assert check(docs) > 1000
+    rng = random.Random(5)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    passage = noise(70)
+    some = table(spark, [noise(40) + passage + noise(40) for _ in range(300)])
+    assert len(suffixes.hot_grams(some.select("doc_id", "text"))) > 0
+    assert check(some) > 60 * 299
