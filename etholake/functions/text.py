@@ -35,6 +35,6 @@ def with_extension(path: Column, extension: str) -> Column:
 
 def movie_ids(path: Column) -> tuple[Column, Column, Column]:
     """(sorted id, kind of sorting, original id) from a file name like syllable_sorted-id-003 (usage)_original-id-017.mp4."""
-    pattern = r"sorted-id-(\d+) \((\w+)\)_original-id-(\d+)"
+    pattern = r"sorted-id-(\d+).\((\w+)\)_original-id-(\d+)"
     number = lambda i: F.nullif(F.regexp_extract(path, pattern, i), F.lit("")).cast("int")
     return number(1), F.nullif(F.regexp_extract(path, pattern, 2), F.lit("")), number(3)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -69,8 +69,9 @@ def error_bars(stats: DataFrame, level: str, stat: str, kind: str = "SEM") -> Da
     return out.withColumns({"low": F.col("mean") - e, "high": F.col("mean") + e})
 
 
-def bootstrap(stats: DataFrame, by: Sequence[str], stat: str, n_boots: int = 10_000, percent: float = 5.0, seed: int = 0) -> DataFrame:
-    """by, mean, low, high: percentile interval of the mean over resamples with replacement, seeded by the group's key.
+def bootstrap(stats: DataFrame, by: Sequence[str], stat: str, n_boots: int = 10_000, percent: float = 5.0, seed: int = 0, function: Callable = np.mean) -> DataFrame:
+    """by, mean, low, high: percentile interval of the mean (or of another function of an array and an axis) over resamples
+    with replacement, seeded by the group's key.
 
     A group is the sessions of one level and syllable; it is resampled in steps of bounded size."""
     keys = list(by)
@@ -81,28 +82,36 @@ def bootstrap(stats: DataFrame, by: Sequence[str], stat: str, n_boots: int = 10_
             return pd.DataFrame([[*key, None, None, None]], columns=[*keys, "mean", "low", "high"])
         rng = np.random.default_rng([seed, *map(int, np.frombuffer(repr(key).encode(), dtype=np.uint8))])
         step = max(1, 2_000_000 // len(x))
-        means = np.concatenate([x[rng.integers(0, len(x), (min(step, n_boots - i), len(x)))].mean(1) for i in range(0, n_boots, step)])
+        means = np.concatenate([function(x[rng.integers(0, len(x), (min(step, n_boots - i), len(x)))], 1) for i in range(0, n_boots, step)])
         low, high = np.percentile(means, [percent / 2, 100 - percent / 2])
-        return pd.DataFrame([[*key, x.mean(), low, high]], columns=[*keys, "mean", "low", "high"])
+        return pd.DataFrame([[*key, float(function(x[None, :], 1)[0]), low, high]], columns=[*keys, "mean", "low", "high"])
 
     kinds = {f.name: f.dataType.simpleString() for f in stats.schema.fields}
     schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", mean double, low double, high double"
     return stats.select(*keys, stat).groupBy(*keys).applyInPandas(one, schema)
 
 
-def hashed_bootstrap(stats: DataFrame, by: Sequence[str], stat: str, order: Sequence[str], n_boots: int = 100, percent: float = 5.0) -> DataFrame:
+def hashed_bootstrap(stats: DataFrame, by: Sequence[str], stat: str, order: Sequence[str], n_boots: int = 100, percent: float = 5.0, function: Callable[[Column], Column] | None = None) -> DataFrame:
     """The same interval with draws from an arithmetic hash, in SQL functions only: any SQL engine gives the same numbers.
 
-    Draw i of resample b takes the value at place hash(b, i) of the group in the order given."""
+    Draw i of resample b takes the value at place hash(b, i) of the group in the order given. function gives a resample's
+    (an array's) statistic, the mean by default."""
     groups = stats.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*order, F.col(stat).alias("_v")))).alias("_s")).withColumn("_x", F.col("_s._v"))
     draws = groups.withColumn("_b", F.explode(F.sequence(F.lit(1), F.lit(n_boots))))
     pick = lambda i: F.get(F.col("_x"), F.pmod(F.pmod(F.col("_b").cast("long") * 7919 + i.cast("long") * 104_729, F.lit(2_147_483_647)) * 48_271, F.lit(1_000_003)) % F.size("_x"))
     total = F.aggregate(F.sequence(F.lit(1), F.size("_x")), F.lit(0.0), lambda s, i: s + pick(i))
-    means = draws.withColumn("_m", total / F.size("_x"))
+    one = total / F.size("_x") if function is None else function(F.transform(F.sequence(F.lit(1), F.size("_x")), pick))
+    means = draws.withColumn("_m", one)
     lo, hi = percent / 200, 1 - percent / 200
     return means.groupBy(*by).agg(F.percentile("_m", lo).alias("low"), F.percentile("_m", hi).alias("high"))
 
 
+def long_form(stats: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """keys, stat (the column's name), value: several statistics as rows, so that what takes one takes them all."""
+    every = F.array(*[F.struct(F.lit(c).alias("stat"), F.col(c).cast("double").alias("value")) for c in columns])
+    return stats.select(*keys, F.explode(every).alias("_s")).select(*keys, "_s.*")
+
+
 def sort_by_stat(stats: DataFrame, stat: str) -> DataFrame:
     """syllable, value (mean over sessions), pos: descending by value, ties by syllable."""
     means = stats.groupBy("syllable").agg(F.avg(stat).alias("value"))

@@ -457,26 +457,25 @@ def image_augment(spark, sf):
     return rounded(d.select("uuid", "frame", "kind", "label", F.get("pixels", 0).alias("first"), F.get("pixels", 7).alias("eighth"), moment.alias("moment")), "first", "eighth", "moment")
 
 
-#: Frame ranges of every label's images: right [0, 400), left [300, 450).
-_RANGES = [(x, left, a, b) for x in range(10) for left, a, b in ((False, 0, 400), (False, 200, 350), (True, 300, 450))]
+#: Over the frames of every label's images, whatever their number n: right [0, 2n/3) and [n/3, n/2), left [n/2, n).
+def _ranges(images):
+    n = images.groupBy("uuid").agg((F.max("frame") + 1).alias("n"))
+    part = lambda left, a, b: F.struct(F.lit(left).alias("left"), F.expr(f"n * {a} div 6").alias("start"), F.expr(f"n * {b} div 6").alias("stop"))
+    return n.select("uuid", F.explode(F.array(part(False, 0, 4), part(False, 2, 3), part(True, 3, 6))).alias("r")).select("uuid", "r.*")
 
 
-def _ranges(spark):
-    return spark.createDataFrame(_RANGES, "uuid long, left boolean, start long, stop long")
-
-
-_SEL = "rg AS (SELECT u.i AS uuid, r.* FROM range(10) u(i), (VALUES (FALSE, 0, 400), (FALSE, 200, 350), (TRUE, 300, 450)) r(\"left\", start, stop)), sel AS (SELECT DISTINCT uuid, \"left\", unnest(range(start, stop)) AS frame FROM rg)"
+_SEL = "n AS (SELECT label::BIGINT AS uuid, max(vec_id) + 1 AS n FROM embeddings GROUP BY label), rg AS (SELECT uuid, r.\"left\", n * a // 6 AS start, n * b // 6 AS stop FROM n, (VALUES (FALSE, 0, 4), (FALSE, 2, 3), (TRUE, 3, 6)) r(\"left\", a, b)), sel AS (SELECT DISTINCT uuid, \"left\", unnest(range(start, stop)) AS frame FROM rg)"
 
 
 @query(f"WITH {_IMG}, {_SEL} SELECT i.uuid, i.frame, \"left\", round((CASE WHEN \"left\" THEN fx ELSE px END)[1], 6) AS first, round((CASE WHEN \"left\" THEN fx ELSE px END)[64], 6) AS last FROM i JOIN sel ON sel.uuid = i.uuid AND sel.frame = i.frame")
 def image_flip_correct(spark, sf):
-    d = flips.corrected(_images(spark, sf), _ranges(spark), 8)
+    d = flips.corrected(_images(spark, sf), _ranges(_images(spark, sf)), 8)
     return rounded(d.select("uuid", "frame", "left", F.get("pixels", 0).alias("first"), F.get("pixels", 63).alias("last")), "first", "last")
 
 
 @query(f"WITH {_SEL} SELECT uuid, \"left\", count(*) AS frames, CAST(sum(frame) AS BIGINT) AS total FROM sel GROUP BY ALL")
 def frame_range_selection(spark, sf):
-    return flips.selected(_ranges(spark)).groupBy("uuid", "left").agg(F.count("*").alias("frames"), F.sum("frame").alias("total"))
+    return flips.selected(_ranges(_images(spark, sf))).groupBy("uuid", "left").agg(F.count("*").alias("frames"), F.sum("frame").alias("total"))
 
 
 @query(f"WITH {_IMG} SELECT uuid, frame, round(list_sum(list_transform(range(1, 65), lambda j: fx[j] - px[j])), 6) + 0.0 AS gap, len(list_filter(px, lambda p: p BETWEEN 0 AND 0.1))::BIGINT AS inside FROM i")
@@ -611,3 +610,7 @@ def stream_label_sessions(spark, sf):
 def stream_usage_by_hour(spark, sf):
     d = stream.usage_by_window(tb.labelled_frames(spark, sf))
     return d.select("syllable", F.unix_micros("start").alias("start"), "frames")
+
+
+# the queries of the tables brought together register themselves
+from . import aligned  # noqa: E402,F401

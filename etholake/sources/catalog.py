@@ -12,8 +12,8 @@ from typing import Any
 
 #: The keys of a progress file.
 PROGRESS_KEYS = (
-    "base_dir", "config_file", "index_file", "train_data_dir", "pca_dirname", "scores_filename", "scores_path",
-    "changepoints_path", "model_path", "model_session_path", "crowd_dir", "syll_info", "plot_path",
+    "base_dir", "config_file", "session_config", "index_file", "train_data_dir", "pca_dirname", "scores_filename",
+    "scores_path", "changepoints_path", "model_path", "crowd_dir", "syll_info", "plot_path",
 )
 
 
@@ -62,10 +62,13 @@ def editing(path: str) -> Iterator[dict[str, Any]]:
         Path(path).write_text(json.dumps(config, indent=1))
 
 
-def with_metadata_defaults(found: Mapping[str, Any] | None) -> dict[str, Any]:
-    """A session's metadata, with what is missing from the defaults."""
-    defaults = {"SubjectName": "", "SessionName": "", "NidaqChannels": 0, "NidaqSamplingRate": 0.0, "DepthResolution": [512, 424], "ColorDataType": "Byte[]", "StartTime": ""}
-    return {**defaults, **(found or {})}
+#: What a session's metadata hold where nothing is known.
+METADATA_DEFAULTS = {"NidaqChannels": 0, "NidaqSamplingRate": 0.0, "DepthResolution": [512, 424], "ColorDataType": "Byte[]", "StartTime": ""}
+
+
+def with_metadata_defaults(found: Mapping[str, Any] | None, folder: str = "", name: str = "") -> dict[str, Any]:
+    """A session's metadata, with what is missing from the defaults; subject and session are named after its folder."""
+    return {"SubjectName": Path(folder).name, "SessionName": name or Path(folder).name, **METADATA_DEFAULTS, **(found or {})}
 
 
 def model_paths(models: list[str], chosen: str) -> dict[str, str]:

@@ -74,6 +74,35 @@ def name_sessions(files: DataFrame, extensions: Sequence[str]) -> DataFrame:
     return named.select("path", "folder", "name", F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"))
 
 
+def session_paths(files: DataFrame, extracted: bool = False, flipped: bool = False, extensions: Sequence[str] = ("dat", "mkv", "avi")) -> DataFrame:
+    """Sessions' files of a listing (path): recordings, of which .dat and .avi ones must be of depth; or extracted films in
+    proc folders, flipped ones or those that are not. name is that of the session's folder, or of the file where the
+    folder has several."""
+    base, parts = basename(F.col("path")), F.split("path", "/")
+    if extracted:
+        wanted = (F.get(parts, F.size(parts) - 2) == "proc") & F.endswith(base, F.lit(".mp4")) & (F.endswith(base, F.lit("_flipped.mp4")) == F.lit(flipped))
+        folder = F.get(parts, F.size(parts) - 3)
+    else:
+        wanted = F.lit(False)
+        for e in extensions:
+            of_depth = F.contains(base, F.lit("depth")) if e in ("dat", "avi") else F.lit(True)
+            wanted = wanted | (F.endswith(base, F.lit(f".{e}")) & of_depth)
+        folder = F.get(parts, F.size(parts) - 2)
+    d = files.where(wanted).withColumns({"_folder": folder, "_base": base})
+    n = d.groupBy("_folder").agg(F.count("*").alias("_n"))
+    return d.join(n, "_folder").select("path", F.when(F.col("_n") == 1, F.col("_folder")).otherwise(F.col("_base")).alias("name"))
+
+
+def resolved(sessions: DataFrame, *tables: DataFrame) -> DataFrame:
+    """Sessions (name) with the path of their results: of the first of the tables (name, path) that has it, such as those
+    of proc folders and of aggregate_results; sessions without any go."""
+    d, paths = sessions, []
+    for i, t in enumerate(tables):
+        d = d.join(t.groupBy("name").agg(F.min("path").alias(f"_path{i}")), "name", "left")
+        paths.append(F.col(f"_path{i}"))
+    return d.select("name", F.coalesce(*paths).alias("path")).where("path is not null")
+
+
 def unextracted(sessions: DataFrame, results: DataFrame, metadata: DataFrame) -> DataFrame:
     """Sessions with metadata (folder) and without complete results (folder, complete)."""
     done = results.where(F.coalesce("complete", F.lit(False))).select("folder").distinct()
