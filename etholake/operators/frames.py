@@ -5,6 +5,8 @@ number of scalar columns. All windows here are partitioned by uuid, so one shuff
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -52,10 +54,10 @@ def with_runs(rows: DataFrame, label: str = "syllable") -> DataFrame:
     return rows.withColumn("_new", changed).withColumn("run", F.sum("_new").over(session().rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
-def bouts(rows: DataFrame, label: str = "syllable", keep: tuple[str, ...] = ("grp",), means: tuple[str, ...] = ()) -> DataFrame:
-    """One row per run of equal labels: uuid, keep, run, label, start, frames, and means of scalars."""
+def bouts(rows: DataFrame, label: str = "syllable", keep: tuple[str, ...] = ("grp",), means: tuple[str, ...] = (), more: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row per run of equal labels: uuid, keep, run, label, start, frames, means of scalars, and more aggregates."""
     kept = [c for c in keep if c in rows.columns]
-    aggs = [F.min("frame").alias("start"), F.count("*").alias("frames"), *[F.avg(c).alias(c) for c in means]]
+    aggs = [F.min("frame").alias("start"), F.count("*").alias("frames"), *[F.avg(c).alias(c) for c in means], *[a.alias(n) for n, a in (more or {}).items()]]
     return with_runs(rows, label).groupBy("uuid", *kept, "run", label).agg(*aggs)
 
 

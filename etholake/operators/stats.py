@@ -23,24 +23,35 @@ def behavioural_stats(frames: DataFrame, by: Sequence[str], scalars: Sequence[st
     if count not in COUNTS:
         raise ValueError(f"count must be one of {COUNTS}, not {count!r}")
     keys = list(by)
-    b = bouts(frames, keep=tuple(k for k in keys if k != "uuid"))
-    sizes = b.groupBy(*keys, "syllable").agg(F.count("*").alias("bouts"), F.sum("frames").alias("frames"), (F.avg("frames") / fps).alias("duration"))
-    n = F.col("bouts") if count == "usage" else F.col("frames")
-    usage = n / F.sum(n).over(Window.partitionBy(*keys)) if normalise else n.cast("double")
-    out = sizes.withColumn("usage", usage)
-    if scalars:
-        pick = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-        values = frames.groupBy(*keys, "syllable").agg(*[pick[a](c).alias(f"{c}_{a}") for c in scalars for a in aggregates])
-        out = out.join(values, [*keys, "syllable"])
-    return out
+    own = tuple(k for k in keys if k != "uuid")
+    # what a bout carries adds up to its syllable's aggregates, so the frames are read and shuffled once
+    parts = {"n": F.count, "sum": F.sum, "square": lambda c: F.sum(F.col(c).cast("double") * F.col(c)), "min": F.min, "max": F.max}
+    carried = {f"_{c}_{p}": f(c) for c in scalars for p, f in parts.items()}
+    b = bouts(frames, keep=own, more=carried)
+    col = lambda c, p: F.col(f"_{c}_{p}")
+    total = {p: (lambda c, p=p: F.sum(col(c, p))) for p in ("n", "sum", "square")}
+    n, mean = total["n"], lambda c: F.try_divide(total["sum"](c).cast("double"), total["n"](c))
+    spread = lambda c: F.try_divide(total["square"](c) - mean(c) * total["sum"](c), n(c) - 1)
+    pick = {"mean": mean, "std": lambda c: F.sqrt(F.greatest(spread(c), F.lit(0.0) * spread(c))), "min": lambda c: F.min(col(c, "min")), "max": lambda c: F.max(col(c, "max"))}
+    values = [pick[a](c).alias(f"{c}_{a}") for c in scalars for a in aggregates]
+    sizes = b.groupBy(*keys, "syllable").agg(F.count("*").alias("bouts"), F.sum("frames").alias("frames"), (F.avg("frames") / fps).alias("duration"), *values)
+    n_of = F.col("bouts") if count == "usage" else F.col("frames")
+    usage = n_of / F.sum(n_of).over(Window.partitionBy(*keys)) if normalise else n_of.cast("double")
+    names = [f"{c}_{a}" for c in scalars for a in aggregates]
+    return sizes.withColumn("usage", usage).select(*keys, "syllable", "bouts", "frames", "duration", "usage", *names)
 
 
 def zero_filled(stats: DataFrame, by: Sequence[str], syllables: DataFrame) -> DataFrame:
-    """A row for every key and every syllable of the (small) table: absent ones have numbers of 0."""
-    keys = stats.select(*by).distinct()
-    every = keys.withColumn("_all", F.lit(syllables.select(F.collect_set("syllable")).first()[0])).withColumn("syllable", F.explode("_all")).drop("_all")
-    numbers = [f.name for f in stats.schema.fields if f.name not in (*by, "syllable") and f.dataType.typeName() in ("double", "long", "integer", "float")]
-    return every.join(stats, [*by, "syllable"], "left").fillna(0, subset=numbers)
+    """A row for every key and every syllable of the (small) table: absent ones have numbers of 0.
+
+    A key's rows, one for each syllable, are gathered and filled in their place."""
+    rest = [f for f in stats.schema.fields if f.name not in (*by, "syllable")]
+    every = F.lit(syllables.select(F.collect_set("syllable")).first()[0])
+    g = stats.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("syllable", F.struct(*[f.name for f in rest])))).alias("_m"))
+    d = g.withColumn("syllable", F.explode(every)).withColumn("_s", F.try_element_at("_m", F.col("syllable")))
+    number = lambda f: f.dataType.typeName() in ("double", "long", "integer", "float")
+    zero = lambda f: F.coalesce(F.col("_s")[f.name], F.lit(0).cast(f.dataType)) if number(f) else F.col("_s")[f.name]
+    return d.select(*by, F.col("syllable").cast(stats.schema["syllable"].dataType).alias("syllable"), *[zero(f).alias(f.name) for f in rest])
 
 
 def mean_of_sessions(stats: DataFrame, level: Sequence[str], columns: Sequence[str]) -> DataFrame:
