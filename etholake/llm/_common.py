@@ -56,6 +56,12 @@ def remove(*paths: str) -> None:
             at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
+def release(keep: str) -> None:
+    """Delete what this process has written to the shared folder, but paths whose name begins with `keep`; for when all
+    that read them has itself been written."""
+    remove(*[path for path in _WRITTEN if not path.rsplit("/", 1)[-1].startswith(keep)])
+
+
 @atexit.register
 def _remove_all() -> None:
     for path in list(_WRITTEN):
