@@ -56,10 +56,15 @@ def remove(*paths: str) -> None:
             at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
-def release(keep: str) -> None:
-    """Delete what this process has written to the shared folder, but paths whose name begins with `keep`; for when all
-    that read them has itself been written."""
-    remove(*[path for path in _WRITTEN if not path.rsplit("/", 1)[-1].startswith(keep)])
+def in_use() -> frozenset[str]:
+    """What this process has written to the shared folder and not deleted."""
+    return frozenset(_WRITTEN)
+
+
+def release(but: frozenset[str], keep: str) -> None:
+    """Delete what this process has written to the shared folder, but these paths and those whose name begins with `keep`;
+    for when all that read it has itself been written."""
+    remove(*[path for path in _WRITTEN if path not in but and not path.rsplit("/", 1)[-1].startswith(keep)])
 
 
 @atexit.register
