@@ -73,6 +73,18 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import bpe
+
+    return bpe.digests(load(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import alignment
+
+    return alignment.digests(load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_suffixes": op2_suffixes,
@@ -84,6 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm": op8_lm,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
+    "op11_bpe": op11_bpe,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {"op3_merkle": merkle.ORACLE_SQL, "op4_chat": chat.ORACLE_SQL}
