@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, merkle
+from . import chat, merkle, wand
 from ._common import crc_mod, load
 
 
@@ -79,6 +79,10 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(load(spark, sf_dir, "documents"))
 
 
+def op12_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wand.rank(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import alignment
 
@@ -97,7 +101,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
     "op11_bpe": op11_bpe,
+    "op12_wand": op12_wand,
     "op13_alignment": op13_alignment,
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_merkle": merkle.ORACLE_SQL, "op4_chat": chat.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_merkle": merkle.ORACLE_SQL, "op4_chat": chat.ORACLE_SQL, "op12_wand": wand.ORACLE_SQL}
