@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 SHOWN = {
     "usage": "usage",
     "duration": "duration",
-    "distance to center": "dist_to_center_px",
+    "distance to center": "dist_to_center_px_mean",
     "2d velocity": "velocity_2d_mm_mean",
     "3d velocity": "velocity_3d_mm_mean",
     "height": "height_ave_mm_mean",

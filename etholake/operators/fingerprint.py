@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .order import percentiles
+
 RANGES = ("robust", "full")
 
 
@@ -38,9 +40,13 @@ def histograms(frames: DataFrame, scalars: Sequence[str], bins: int = 100, range
     least and greatest value ('full') of all frames; values outside are left out of the bins, not of the frames."""
     if ranges not in RANGES:
         raise ValueError(f"ranges must be one of {RANGES}, not {ranges!r}")
-    ends = (lambda c: (F.percentile(c, 0.01), F.percentile(c, 0.99))) if ranges == "robust" else (lambda c: (F.min(c), F.max(c)))
-    limits = frames.agg(*[e.alias(f"{n}_{c}") for c in scalars for n, e in zip(("lo", "hi"), ends(c))]).first()
-    long = frames.select(by, F.explode(F.array(*[F.struct(F.lit(c).alias("scalar"), F.col(c).cast("double").alias("v"), F.lit(limits[f"lo_{c}"]).cast("double").alias("lo"), F.lit(limits[f"hi_{c}"]).cast("double").alias("hi")) for c in scalars])).alias("x")).select(by, "x.*")
+    each = frames.select(by, F.explode(F.array(*[F.struct(F.lit(c).alias("scalar"), F.col(c).cast("double").alias("v")) for c in scalars])).alias("x")).select(by, "x.*")
+    if ranges == "robust":
+        limits = percentiles(each, ["scalar"], "v", (0.01, 0.99)).groupBy("scalar").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    else:
+        limits = each.groupBy("scalar").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    # one row for each scalar
+    long = each.join(F.broadcast(limits), "scalar", "left")
     at = F.least(F.floor(F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1)).cast("int")
     inside = F.col("v").between(F.col("lo"), F.col("hi"))
     n = long.groupBy(by, "scalar", F.when(inside, at).alias("bin")).agg(F.count("*").alias("_n"))

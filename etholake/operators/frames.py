@@ -86,3 +86,12 @@ def bout_examples(b: DataFrame, most: int = 20, least_frames: int = 3, most_fram
 def portable_hash(x: Column, modulus: int) -> Column:
     """An arithmetic hash that other SQL engines compute alike."""
     return F.pmod(F.pmod(x, F.lit(2_147_483_647)) * 48_271, F.lit(modulus))
+
+
+def portable_mix(rows: DataFrame, x: Column, into: str) -> DataFrame:
+    """rows with a better mixed hash of a whole number into 0..2^31-2 that other SQL engines compute alike: two rounds of
+    squaring modulo a prime, each a column of its own, as each reads the one before it three times."""
+    m = F.lit(2_147_483_647)
+    y = F.col(into)
+    once = F.pmod(y * y + F.lit(12_345) * y + 1_013_904_223, m)
+    return rows.withColumn(into, F.pmod(x, m)).withColumn(into, F.pmod(once + 374_761_393, m)).withColumn(into, once)

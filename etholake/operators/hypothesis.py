@@ -3,26 +3,40 @@ all sessions; p-values are computed on the result, one row per syllable or pair
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.distributions import p_chi2, p_normal, p_student
+from .order import below
 
 TESTS = ("Kruskal-Wallis", "Z-test", "T-test", "Mann-Whitney")
 
 
-def ranked(stats: DataFrame, stat: str) -> DataFrame:
-    """rank: of the value within its syllable, ties averaged; ties: how many share it."""
-    same = Window.partitionBy("syllable", stat)
-    w = Window.partitionBy("syllable").orderBy(stat)
-    some = stats.where(F.col(stat).isNotNull()).withColumn("ties", F.count("*").over(same))
-    return some.withColumn("rank", F.rank().over(w) + (F.col("ties") - 1) / 2)
+def value_ranks(stats: DataFrame, stat: str, group: str = "grp") -> DataFrame:
+    """syllable, value, group, k (sessions of the group with the value), ties (of all groups), rank (ties averaged).
+
+    Ranks come from counts of distinct values and sums of what lies below, so no task holds a syllable's sessions."""
+    each = stats.where(F.col(stat).isNotNull()).groupBy("syllable", F.col(stat).cast("double").alias("value"), F.col(group)).agg(F.count("*").alias("k"))
+    # a value has one entry for each group
+    at = each.groupBy("syllable", "value").agg(F.sum("k").alias("ties"), F.collect_list(F.struct(group, "k")).alias("_g"))
+    placed = below(at, ["syllable"], "value", "ties").withColumn("rank", F.col("below") + (F.col("ties") + 1) / 2)
+    return placed.select("syllable", "value", "ties", "rank", F.explode("_g").alias("_g")).select("syllable", "value", "_g.*", "ties", "rank")
+
+
+def ranked(stats: DataFrame, stat: str, group: str = "grp") -> DataFrame:
+    """rank: of each row's value within its syllable, ties averaged; ties: how many share it. Rows without a value go."""
+    at = value_ranks(stats, stat, group).select(F.col("syllable").alias("_s"), F.col("value").alias("_v"), "ties", "rank").distinct()
+    return stats.join(at, (F.col("syllable") == F.col("_s")) & (F.col(stat).cast("double") == F.col("_v"))).drop("_s", "_v")
+
+
+def _tie_term() -> Column:
+    return F.sum(F.col("k") * (F.col("ties") * F.col("ties") - 1))
 
 
 def kruskal(stats: DataFrame, stat: str, group: str = "grp", p_values: bool = True) -> DataFrame:
     """syllable, h (corrected for ties), groups, and p."""
-    r = ranked(stats, stat)
-    per = r.groupBy("syllable", group).agg(F.sum("rank").alias("_sum"), F.count("*").alias("_n"), F.sum(F.col("ties") * F.col("ties") - 1).alias("_ties"))
+    r = value_ranks(stats, stat, group)
+    per = r.groupBy("syllable", group).agg(F.sum(F.col("rank") * F.col("k")).alias("_sum"), F.sum("k").alias("_n"), _tie_term().alias("_ties"))
     s = per.groupBy("syllable").agg(F.sum("_n").alias("n"), F.sum(F.col("_sum") * F.col("_sum") / F.col("_n")).alias("_q"), F.sum("_ties").alias("_t"), F.count("*").alias("groups"))
     n = F.col("n").cast("double")
     correction = 1 - F.col("_t") / F.nullif(n * n * n - n, F.lit(0.0))
@@ -33,12 +47,13 @@ def kruskal(stats: DataFrame, stat: str, group: str = "grp", p_values: bool = Tr
 
 def dunn(stats: DataFrame, stat: str, group: str = "grp", alpha: float = 0.05) -> DataFrame:
     """syllable, a, b (groups), z, p, adjusted (Holm over each syllable's pairs), is_sig."""
-    r = ranked(stats, stat)
-    ties = r.groupBy("syllable").agg(F.count("*").cast("double").alias("n"), F.sum(F.col("ties") * F.col("ties") - 1).alias("t"))
-    means = r.groupBy("syllable", group).agg(F.avg("rank").alias("m"), F.count("*").alias("k"))
-    a = means.select("syllable", F.col(group).alias("a"), F.col("m").alias("ma"), F.col("k").alias("ka"))
-    b = means.select("syllable", F.col(group).alias("b"), F.col("m").alias("mb"), F.col("k").alias("kb"))
-    pairs = a.join(b, "syllable").where("a < b").join(ties, "syllable")
+    r = value_ranks(stats, stat, group)
+    per = r.groupBy("syllable", group).agg(F.sum(F.col("rank") * F.col("k")).alias("_sum"), F.sum("k").alias("k"), _tie_term().alias("t"))
+    # a syllable has one entry for each group
+    entry = F.struct(F.col(group).alias("g"), (F.col("_sum") / F.col("k")).alias("m"), F.col("k").alias("k"))
+    whole = per.groupBy("syllable").agg(F.sum("k").cast("double").alias("n"), F.sum("t").alias("t"), F.array_sort(F.collect_list(entry)).alias("_g"))
+    one = whole.select("syllable", "n", "t", "_g", F.posexplode("_g").alias("_i", "x"))
+    pairs = one.select("syllable", "n", "t", "x", F.explode(F.expr("slice(_g, _i + 2, size(_g))")).alias("y")).select("syllable", "n", "t", F.col("x.g").alias("a"), F.col("y.g").alias("b"), F.col("x.m").alias("ma"), F.col("y.m").alias("mb"), F.col("x.k").alias("ka"), F.col("y.k").alias("kb"))
     spread = (F.col("n") * (F.col("n") + 1) / 12 - F.col("t") / (12 * F.nullif(F.col("n") - 1, F.lit(0.0)))) * (1 / F.col("ka") + 1 / F.col("kb"))
     z = F.try_divide(F.col("ma") - F.col("mb"), F.sqrt(spread))
     out = pairs.select("syllable", "a", "b", z.alias("z")).withColumn("p", p_normal("z"))
@@ -60,9 +75,10 @@ def pairwise(stats: DataFrame, stat: str, a: str, b: str, test: str, group: str
     if test not in TESTS[1:]:
         raise ValueError(f"test must be one of {TESTS[1:]}, not {test!r}")
     if test == "Mann-Whitney":
-        r = ranked(stats.where(F.col(group).isin(a, b)), stat)
-        first = F.col(group) == a
-        s = r.groupBy("syllable").agg(F.sum(F.when(first, F.col("rank"))).alias("_r"), F.count_if(first).cast("double").alias("_a"), F.count_if(~first).cast("double").alias("_b"), F.sum(F.col("ties") * F.col("ties") - 1).alias("_t"))
+        r = value_ranks(stats.where(F.col(group).isin(a, b)), stat, group)
+        first, k = F.col(group) == a, F.col("k")
+        of = lambda f, x: F.coalesce(F.sum(F.when(f, x)), F.lit(0)).cast("double")
+        s = r.groupBy("syllable").agg(F.sum(F.when(first, F.col("rank") * k)).alias("_r"), of(first, k).alias("_a"), of(~first, k).alias("_b"), _tie_term().alias("_t"))
         n, ab = F.col("_a") + F.col("_b"), F.col("_a") * F.col("_b")
         u = F.col("_r") - F.col("_a") * (F.col("_a") + 1) / 2
         spread = F.sqrt(ab / 12 * (n + 1 - F.try_divide(F.col("_t").cast("double"), n * (n - 1))))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import bouts
+from .frames import portable_mix, session
 
 COUNTS = ("usage", "frames")
 ERRORBARS = ("None", "SEM", "STD", "CI 95%")
@@ -23,18 +23,17 @@ def behavioural_stats(frames: DataFrame, by: Sequence[str], scalars: Sequence[st
     if count not in COUNTS:
         raise ValueError(f"count must be one of {COUNTS}, not {count!r}")
     keys = list(by)
-    own = tuple(k for k in keys if k != "uuid")
-    # what a bout carries adds up to its syllable's aggregates, so the frames are read and shuffled once
-    parts = {"n": F.count, "sum": F.sum, "square": lambda c: F.sum(F.col(c).cast("double") * F.col(c)), "min": F.min, "max": F.max}
-    carried = {f"_{c}_{p}": f(c) for c in scalars for p, f in parts.items()}
-    b = bouts(frames, keep=own, more=carried)
-    col = lambda c, p: F.col(f"_{c}_{p}")
-    total = {p: (lambda c, p=p: F.sum(col(c, p))) for p in ("n", "sum", "square")}
-    n, mean = total["n"], lambda c: F.try_divide(total["sum"](c).cast("double"), total["n"](c))
-    spread = lambda c: F.try_divide(total["square"](c) - mean(c) * total["sum"](c), n(c) - 1)
-    pick = {"mean": mean, "std": lambda c: F.sqrt(F.greatest(spread(c), F.lit(0.0) * spread(c))), "min": lambda c: F.min(col(c, "min")), "max": lambda c: F.max(col(c, "max"))}
+    # a bout is where its first frame is, so frames add up to syllables in one pass; deviations are Spark's (n, mean, M2) states,
+    # merged pairwise from task to task, which large values do not upset
+    changed = F.lit(False)
+    for c in dict.fromkeys(["syllable", *[k for k in keys if k != "uuid"]]):
+        changed = changed | ~F.col(c).eqNullSafe(F.lag(c).over(session()))
+    flagged = frames.withColumn("_first", changed | (F.row_number().over(session()) == 1))
+    value = lambda c: F.col(c).cast("double")
+    pick = {"mean": lambda c: F.avg(value(c)), "std": lambda c: F.stddev_samp(value(c)), "min": F.min, "max": F.max}
     values = [pick[a](c).alias(f"{c}_{a}") for c in scalars for a in aggregates]
-    sizes = b.groupBy(*keys, "syllable").agg(F.count("*").alias("bouts"), F.sum("frames").alias("frames"), (F.avg("frames") / fps).alias("duration"), *values)
+    b, n = F.count_if("_first"), F.count("*")
+    sizes = flagged.groupBy(*keys, "syllable").agg(b.alias("bouts"), n.alias("frames"), (F.try_divide(n.cast("double"), b) / fps).alias("duration"), *values)
     n_of = F.col("bouts") if count == "usage" else F.col("frames")
     usage = n_of / F.sum(n_of).over(Window.partitionBy(*keys)) if normalise else n_of.cast("double")
     names = [f"{c}_{a}" for c in scalars for a in aggregates]
@@ -80,11 +79,45 @@ def error_bars(stats: DataFrame, level: str, stat: str, kind: str = "SEM") -> Da
     return out.withColumns({"low": F.col("mean") - e, "high": F.col("mean") + e})
 
 
-def bootstrap(stats: DataFrame, by: Sequence[str], stat: str, n_boots: int = 10_000, percent: float = 5.0, seed: int = 0, function: Callable = np.mean) -> DataFrame:
-    """by, mean, low, high: percentile interval of the mean (or of another function of an array and an axis) over resamples
-    with replacement, seeded by the group's key.
-
-    A group is the sessions of one level and syllable; it is resampled in steps of bounded size."""
+#: The distribution function of a Poisson variable with mean 1, in six digits.
+POISSON = (0.367879, 0.735759, 0.919699, 0.981012, 0.996340, 0.999406, 0.999917, 0.999990)
+
+
+def merged_bootstrap(stats: DataFrame, by: Sequence[str], stat: str, n_boots: int = 10_000, percent: float = 5.0, seed: int = 0, unit: Column | None = None, function: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """by, mean, low, high: percentile interval over resamples whose rows have Poisson weights (Chamandy et al. 2012).
+
+    A row's weight in a resample is a hash of its unit (a whole number; the hash of the row if none is given), the resample
+    and the seed, so weights are the same wherever the row is. Resamples are sums over rows: each task adds up its own, and
+    only one row for each group and resample is shuffled. function(weight, value) gives the aggregate, the weighted mean by
+    default; null values are left out, and a group of only nulls has null bounds."""
+    keys, x, w = list(by), F.col("_x"), F.col("_w")
+    one = F.try_divide(F.sum(w * x), F.sum(w)) if function is None else function(w, x)
+    rows = stats.select(*keys, F.col(stat).cast("double").alias("_x"), (F.xxhash64(*stats.columns) if unit is None else unit).cast("long").alias("_u"))
+    drawn = portable_mix(rows.where("_x IS NOT NULL"), F.pmod("_u", F.lit(2_147_483_647)) * 7919 + seed, "_u")
+    drawn = drawn.withColumn("_b", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(n_boots).cast("long"))))
+    drawn = portable_mix(drawn, F.col("_u") + F.col("_b") * 104_729, "_u")
+    weight = F.lit(0)
+    for c in POISSON:
+        weight = weight + (F.col("_u") > int(c * 2_147_483_647)).cast("int")
+    # no filter on the weight: pushed down, it would write the hash out many times over
+    drawn = drawn.withColumn("_w", weight)
+    resampled = drawn.groupBy(*keys, "_b").agg(one.alias("_m"))
+    # the resamples of a group are as many as asked for, whatever its rows
+    ends = resampled.groupBy(*keys).agg(F.percentile("_m", F.array(F.lit(percent / 200), F.lit(1 - percent / 200))).alias("_p"))
+    whole = rows.withColumn("_w", F.when(x.isNotNull(), 1).otherwise(0)).groupBy(*keys).agg(one.alias("mean"))
+    a, b = whole.alias("a"), ends.alias("b")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    return a.join(b, same, "left").select(*[F.col(f"a.{k}") for k in keys], "mean", F.get("_p", 0).alias("low"), F.get("_p", 1).alias("high"))
+
+
+def bootstrap(stats: DataFrame, by: Sequence[str], stat: str, n_boots: int = 10_000, percent: float = 5.0, seed: int = 0, function: Callable | None = None) -> DataFrame:
+    """by, mean, low, high: percentile interval of the mean over resamples (merged_bootstrap), or of another function of an
+    array and an axis, which need not merge: then a group, the sessions of one level and syllable, is resampled in one task,
+    in steps of bounded size, seeded by its key."""
+    if function is None:
+        return merged_bootstrap(stats, by, stat, n_boots, percent, seed)
     keys = list(by)
 
     def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:

@@ -25,13 +25,17 @@ def edges(s: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
     return s.groupBy(*by, "src", "dst").agg(F.count("*").alias("n"))
 
 
-def normalised(e: DataFrame, how: str = "bigram", by: Sequence[str] = ("grp",), smoothing: float = 0.0) -> DataFrame:
-    """p: an edge's share of all transitions, of those out of its source (rows) or into its target (columns)."""
+def normalised(e: DataFrame, how: str = "bigram", by: Sequence[str] = ("grp",), smoothing: float = 0.0, k: int | None = None) -> DataFrame:
+    """p: an edge's share of all transitions, of those out of its source (rows) or into its target (columns).
+
+    Smoothing is added to every cell of the matrix of k syllables, seen or not; a cell without an edge has no row here."""
     if how not in NORMALISATIONS:
         raise ValueError(f"how must be one of {NORMALISATIONS}, not {how!r}")
+    if smoothing and k is None:
+        raise ValueError("smoothing needs k, the number of syllables")
     within = {"bigram": [], "rows": ["src"], "columns": ["dst"]}[how]
-    n = F.col("n") + smoothing
-    return e.withColumn("p", n / F.sum(n).over(Window.partitionBy(*by, *within)))
+    cells = (k * k if how == "bigram" else k) if smoothing else 0
+    return e.withColumn("p", (F.col("n") + smoothing) / (F.sum("n").over(Window.partitionBy(*by, *within)) + smoothing * cells))
 
 
 def dense(e: DataFrame, k: int, by: Sequence[str] = ("grp",)) -> DataFrame:
@@ -42,17 +46,34 @@ def dense(e: DataFrame, k: int, by: Sequence[str] = ("grp",)) -> DataFrame:
     return every.join(e.select(*by, "src", "dst", "p"), [*by, "src", "dst"], "left").fillna(0.0, subset=["p"])
 
 
-def entropies(s: DataFrame, base: float = 2.0, smoothing: float = 0.0) -> DataFrame:
-    """grp, syllable, ent_out, ent_in: the means over sessions of the entropy of what follows and precedes a syllable."""
-    e = edges(s, ("uuid", "grp"))
-
-    def one(how: str, end: str, name: str) -> DataFrame:
-        p = normalised(e, how, ("uuid", "grp"), smoothing)
-        term = -F.col("p") * F.log(F.col("p")) / F.log(F.lit(base))
-        per = p.groupBy("uuid", "grp", F.col(end).alias("syllable")).agg(F.sum(term).alias("_e"))
-        return per.groupBy("grp", "syllable").agg(F.avg("_e").alias(name))
+def entropies(s: DataFrame, base: float = 2.0, smoothing: float = 0.0, k: int | None = None) -> DataFrame:
+    """grp, syllable, ent_out, ent_in: the means over sessions of the entropy of what follows and precedes a syllable.
 
-    return one("rows", "src", "ent_out").join(one("columns", "dst", "ent_in"), ["grp", "syllable"], "full")
+    With smoothing, a session's row has k cells, of which those without an edge are alike: their part is in closed form,
+    so nothing is made dense; a session without the syllable has log k, and every group has all k syllables. Without it, only
+    sessions with the syllable count."""
+    if smoothing and k is None:
+        raise ValueError("smoothing needs k, the number of syllables")
+    e = edges(s, ("uuid", "grp"))
+    log = lambda x: F.log(x) / F.log(F.lit(base))
+
+    def one(end: str, name: str) -> DataFrame:
+        if not smoothing:
+            p = normalised(e, {"src": "rows", "dst": "columns"}[end], ("uuid", "grp"))
+            per = p.groupBy("uuid", "grp", F.col(end).alias("syllable")).agg(F.sum(-F.col("p") * log(F.col("p"))).alias("_e"))
+            return per.groupBy("grp", "syllable").agg(F.avg("_e").alias(name))
+        # -sum(p log p) with p = m / t is log t - sum(m log m) / t, where m is smoothing in every cell without an edge
+        m = F.col("n") + smoothing
+        t = F.sum("n") + smoothing * k
+        empty = (k - F.count("*")) * (smoothing * log(F.lit(float(smoothing))))
+        per = e.groupBy("uuid", "grp", F.col(end).alias("syllable")).agg((log(t) - (F.sum(m * log(m)) + empty) / t).alias("_e"))
+        sums = per.groupBy("grp", "syllable").agg(F.sum("_e").alias("_e"), F.count("*").alias("_with"))
+        cohorts = e.groupBy("grp").agg(F.countDistinct("uuid").alias("_all"))
+        every = cohorts.withColumn("syllable", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).join(sums, ["grp", "syllable"], "left")
+        with_ = F.coalesce("_with", F.lit(0))
+        return every.select("grp", "syllable", ((F.coalesce("_e", F.lit(0.0)) + (F.col("_all") - with_) * log(F.lit(float(k)))) / F.col("_all")).alias(name))
+
+    return one("src", "ent_out").join(one("dst", "ent_in"), ["grp", "syllable"], "full")
 
 
 def differences(values: DataFrame, on: Sequence[str], columns: Sequence[str], group: str = "grp") -> DataFrame:
@@ -112,7 +133,7 @@ def edge_style(e: DataFrame, difference: bool = False) -> DataFrame:
     """width and colour of edges: differences by sign."""
     p = F.col("p")
     if difference:
-        return e.withColumns({"width": F.abs(p) * 400, "colour": F.when(p > 0, "red").otherwise("blue")})
+        return e.withColumns({"width": F.abs(p) * 400, "colour": F.when(p > 0, "blue").otherwise("red")})
     return e.withColumns({"width": p * 250, "colour": F.lit("black")})
 
 
@@ -120,8 +141,8 @@ def node_style(nodes: DataFrame, difference: bool = False) -> DataFrame:
     """size and colour of nodes by usage."""
     u = F.abs(F.col("usage") * 1000)
     if difference:
-        return nodes.withColumns({"size": F.greatest(F.lit(15.0), 15 + u), "colour": F.when(F.col("usage") > 0, "red").otherwise("blue")})
-    return nodes.withColumns({"size": F.greatest(F.lit(15.0), u), "colour": F.lit("white")})
+        return nodes.withColumns({"size": F.greatest(F.lit(15.0), 15 + u), "colour": F.when(F.col("usage") > 0, "blue").otherwise("red")})
+    return nodes.withColumns({"size": F.greatest(F.lit(15.0), u), "colour": F.lit("red")})
 
 
 def weight_range(e: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:

@@ -119,9 +119,20 @@ def errorbars_none(spark, sf):
     return rounded(st.error_bars(tb.session_stats(spark, sf), "grp", "usage", "None"), "mean", "error", "low", "high")
 
 
-@query()
+def _mixed(source: str, x: str, into: str) -> str:
+    """CTEs that add portable_mix(x) to a source."""
+    once = lambda y: f"({y} * {y} + 12345 * {y} + 1013904223) % 2147483647"
+    y = "y_"
+    return (f"{into}_a AS (SELECT *, ({x}) % 2147483647 AS {y} FROM {source}), {into}_b AS (SELECT * EXCLUDE ({y}), ({once(y)} + 374761393) % 2147483647 AS {y} FROM {into}_a), "
+            f"{into} AS (SELECT * EXCLUDE ({y}), {once(y)} AS {into}_u FROM {into}_b)")
+
+
+@query(f"""WITH {tb.STATS}, {_mixed("s", "uuid * 7919", "m1")}, d AS (SELECT grp, syllable, uuid, usage, m1_u, b FROM m1, range(1, 10001) r(b)), {_mixed("d", "m1_u + b * 104729", "m2")},
+pw AS (SELECT grp, syllable, b, usage, {" + ".join(f"(m2_u > {int(c * 2_147_483_647)})::INT" for c in st.POISSON)} AS w FROM m2),
+r AS (SELECT grp, syllable, b, sum(w * usage) / sum(w) AS m FROM pw GROUP BY ALL HAVING sum(w) > 0), a AS (SELECT grp, syllable, avg(usage) AS mean FROM s GROUP BY ALL)
+SELECT grp, syllable, round(any_value(mean), 6) AS mean, round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, 0.975), 6) AS high FROM r JOIN a USING (grp, syllable) GROUP BY ALL""")
 def bootstrap_ci(spark, sf):
-    return st.bootstrap(tb.session_stats(spark, sf), ["grp", "syllable"], "usage")
+    return rounded(st.merged_bootstrap(tb.session_stats(spark, sf), ["grp", "syllable"], "usage", unit=F.col("uuid")), "mean", "low", "high")
 
 
 @query(f"""WITH {tb.STATS}, x AS (SELECT grp, syllable, list(usage ORDER BY uuid) AS v FROM s GROUP BY ALL),
@@ -210,6 +221,16 @@ def transition_entropy_in_out(spark, sf):
     return rounded(tr.entropies(_steps(spark, sf)), "ent_out", "ent_in")
 
 
+@query(f"""WITH {tb.EDGES}, se AS (SELECT uuid, grp, src, dst, count(*) AS n FROM t WHERE dst IS NOT NULL GROUP BY ALL),
+cell AS (SELECT u.uuid, u.grp, a.i::INT AS src, c.i::INT AS dst, coalesce(n, 0) + 1 AS m FROM (SELECT DISTINCT uuid, grp FROM se) u CROSS JOIN range(5) a(i) CROSS JOIN range(5) c(i) LEFT JOIN se ON se.uuid = u.uuid AND se.src = a.i AND se.dst = c.i),
+q AS (SELECT *, m / sum(m) OVER (PARTITION BY uuid, src) AS r, m / sum(m) OVER (PARTITION BY uuid, dst) AS c FROM cell),
+eo AS (SELECT grp, syllable, avg(h) AS ent_out FROM (SELECT uuid, grp, src AS syllable, sum(-r * log2(r)) AS h FROM q GROUP BY ALL) GROUP BY ALL),
+ei AS (SELECT grp, syllable, avg(h) AS ent_in FROM (SELECT uuid, grp, dst AS syllable, sum(-c * log2(c)) AS h FROM q GROUP BY ALL) GROUP BY ALL)
+SELECT grp, syllable, round(ent_out, 6) AS ent_out, round(ent_in, 6) AS ent_in FROM eo JOIN ei USING (grp, syllable)""")
+def transition_entropy_smoothed(spark, sf):
+    return rounded(tr.entropies(_steps(spark, sf), smoothing=1.0, k=5), "ent_out", "ent_in")
+
+
 @query(f"WITH {_ENTROPY} SELECT y.grp || '-' || x.grp AS series, syllable, round(y.ent_out - x.ent_out, 6) AS ent_out, round(y.ent_in - x.ent_in, 6) AS ent_in FROM en x JOIN en y USING (syllable) WHERE x.grp < y.grp")
 def entropy_group_difference(spark, sf):
     return rounded(tr.differences(tr.entropies(_steps(spark, sf)), ["syllable"], ["ent_out", "ent_in"]), "ent_out", "ent_in")
@@ -271,7 +292,7 @@ def bidirectional_edges(spark, sf):
     return tr.bidirectional(_graph(spark, sf)).select("grp", "src", "dst")
 
 
-@query(f"WITH {_GRAPH} SELECT grp, syllable, round(greatest(15, abs(usage * 1000)), 6) AS size, 'white' AS colour FROM u")
+@query(f"WITH {_GRAPH} SELECT grp, syllable, round(greatest(15, abs(usage * 1000)), 6) AS size, 'red' AS colour FROM u")
 def graph_node_style(spark, sf):
     return rounded(tr.node_style(_usage(spark, sf)).select("grp", "syllable", "size", "colour"), "size")
 
@@ -281,6 +302,24 @@ def graph_edge_style(spark, sf):
     return rounded(tr.edge_style(_p(spark, sf)).select("grp", "src", "dst", "width", "colour"), "width")
 
 
+_USAGE_GAP = """d AS (SELECT y.grp || '-' || x.grp AS series, k.syllable, coalesce(py.usage, 0) - coalesce(px.usage, 0) AS usage FROM (SELECT DISTINCT grp FROM u) x JOIN (SELECT DISTINCT grp FROM u) y ON x.grp < y.grp CROSS JOIN (SELECT DISTINCT syllable FROM u) k
+LEFT JOIN u px ON px.grp = x.grp AND px.syllable = k.syllable LEFT JOIN u py ON py.grp = y.grp AND py.syllable = k.syllable WHERE px.usage IS NOT NULL OR py.usage IS NOT NULL)"""
+
+
+@query(f"WITH {_GRAPH}, {_USAGE_GAP} SELECT series, syllable, round(greatest(15, 15 + abs(usage * 1000)), 6) AS size, CASE WHEN usage > 0 THEN 'blue' ELSE 'red' END AS colour FROM d")
+def graph_difference_node_style(spark, sf):
+    d = tr.node_style(tr.differences(_usage(spark, sf), ["syllable"], ["usage"]), difference=True)
+    return rounded(d.select("series", "syllable", "size", "colour"), "size")
+
+
+@query(f"""WITH {tb.EDGES}, d AS (SELECT y.grp || '-' || x.grp AS series, k.src, k.dst, coalesce(py.p, 0) - coalesce(px.p, 0) AS p FROM (SELECT DISTINCT grp FROM e) x JOIN (SELECT DISTINCT grp FROM e) y ON x.grp < y.grp CROSS JOIN (SELECT DISTINCT src, dst FROM e) k
+LEFT JOIN p px ON px.grp = x.grp AND px.src = k.src AND px.dst = k.dst LEFT JOIN p py ON py.grp = y.grp AND py.src = k.src AND py.dst = k.dst WHERE px.p IS NOT NULL OR py.p IS NOT NULL)
+SELECT series, src, dst, round(abs(p) * 400, 6) AS width, CASE WHEN p > 0 THEN 'blue' ELSE 'red' END AS colour FROM d""")
+def graph_difference_edge_style(spark, sf):
+    d = tr.edge_style(tr.differences(_p(spark, sf), ["src", "dst"], ["p"]), difference=True)
+    return rounded(d.select("series", "src", "dst", "width", "colour"), "width")
+
+
 @query(f"WITH {tb.EDGES} SELECT grp, round(min(p), 6) AS up_min, round(max(p), 6) AS up_max, 0.0::DOUBLE AS down_min, 0.0::DOUBLE AS down_max, round(ceil(max(p) * 1000) / 1000, 6) AS slider FROM p GROUP BY grp")
 def graph_edge_minmax(spark, sf):
     return rounded(tr.weight_range(_p(spark, sf)), "up_min", "up_max", "down_min", "down_max", "slider")
@@ -374,14 +413,27 @@ def kruskal_h_statistic(spark, sf):
     return rounded(hypothesis.kruskal(tb.session_stats(spark, sf), "usage", p_values=False), "h")
 
 
-@query()
+def _upper_gamma(a: str, x: str) -> str:
+    """The upper tail of the gamma distribution, one less its series (all terms positive)."""
+    return f"CASE WHEN {x} <= 0 THEN 1.0 ELSE greatest(0.0, 1 - list_sum(list_transform(range(400), lambda i: exp(({a} + i) * ln({x}) - ({x}) - lgamma({a} + i + 1))))) END"
+
+
+_H = f"""{_RANKS}, g AS (SELECT syllable, grp, sum(rk) AS r, count(*) AS c, sum(ties * ties - 1) AS t FROM k GROUP BY ALL), z AS (SELECT syllable, sum(c) AS n, sum(r * r / c) AS q, sum(t) AS t, count(*) AS groups FROM g GROUP BY ALL),
+kw AS (SELECT syllable, (12 / (n * (n + 1)) * q - 3 * (n + 1)) / (1 - t / (n::DOUBLE * n * n - n)) AS h, groups, n, t FROM z), kp AS (SELECT *, {_upper_gamma("((groups - 1) / 2.0)", "(h / 2)")} AS p FROM kw)"""
+_DUNN = f"""{_H}, dp AS (SELECT x.syllable, x.grp AS a, y.grp AS b, (x.r / x.c - y.r / y.c) / sqrt((n * (n + 1) / 12 - z.t / (12 * (n - 1))) * (1 / x.c + 1 / y.c)) AS z FROM g x JOIN g y ON x.syllable = y.syllable AND x.grp < y.grp JOIN z ON z.syllable = x.syllable),
+dq AS (SELECT *, {_upper_gamma("0.5", "(z * z / 2)")} AS p FROM dp),
+dh AS (SELECT *, least(1.0, p * (count(*) OVER (PARTITION BY syllable) - row_number() OVER (PARTITION BY syllable ORDER BY p, a, b) + 1)) AS step FROM dq),
+du AS (SELECT syllable, a, b, z, p, max(step) OVER (PARTITION BY syllable ORDER BY p, a, b ROWS UNBOUNDED PRECEDING) AS adjusted FROM dh)"""
+
+
+@query(f"WITH {_H} SELECT syllable, round(h, 6) AS h, groups, CAST(n AS BIGINT) AS n, round(p, 6) AS p FROM kp")
 def kruskal_p_values(spark, sf):
-    return hypothesis.kruskal(tb.session_stats(spark, sf), "usage")
+    return rounded(hypothesis.kruskal(tb.session_stats(spark, sf), "usage"), "h", "p")
 
 
-@query()
+@query(f"WITH {_DUNN} SELECT syllable, a, b, round(z, 6) AS z, round(p, 6) AS p, round(adjusted, 6) AS adjusted, adjusted < 0.05 AS is_sig FROM du")
 def dunn_pairs(spark, sf):
-    return hypothesis.dunn(tb.session_stats(spark, sf), "usage")
+    return rounded(hypothesis.dunn(tb.session_stats(spark, sf), "usage"), "z", "p", "adjusted")
 
 
 _TWO = f"""{tb.STATS}, y AS (SELECT *, rank() OVER (PARTITION BY syllable ORDER BY usage) + (count(*) OVER (PARTITION BY syllable, usage) - 1) / 2 AS rk FROM s WHERE grp IN ('{A}', '{B}')),

@@ -68,7 +68,7 @@ def name_sessions(files: DataFrame, extensions: Sequence[str]) -> DataFrame:
     for e in extensions:
         wanted = wanted | F.endswith("path", F.lit(f".{e}"))
     base, parts = basename(F.col("path")), F.split("path", "/")
-    d = files.where(wanted & ~base.isin("ir.avi", "ir.dat")).withColumns({"folder": F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/"), "_file": base})
+    d = files.where(wanted & ~(F.contains(base, F.lit("ir.avi")) | F.contains(base, F.lit("ir.dat")))).withColumns({"folder": F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/"), "_file": base})
     n = d.groupBy("folder").agg(F.count("*").alias("_n"))
     named = d.join(n, "folder").withColumn("name", F.when(F.col("_n") == 1, basename(F.col("folder"))).otherwise(F.col("_file")))
     return named.select("path", "folder", "name", F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"))
