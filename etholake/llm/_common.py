@@ -7,6 +7,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +46,8 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; what is written there goes when the process ends, if not before."""
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     _WRITTEN[path] = spark
+    if _OWNERS:
+        _OWNERS[-1].append(path)
     return path
 
 
@@ -56,15 +60,21 @@ def remove(*paths: str) -> None:
             at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
-def in_use() -> frozenset[str]:
-    """What this process has written to the shared folder and not deleted."""
-    return frozenset(_WRITTEN)
+#: Lists that take down what is written, the innermost last.
+_OWNERS: list[list[str]] = []
 
 
-def release(but: frozenset[str], keep: str) -> None:
-    """Delete what this process has written to the shared folder, but these paths and those whose name begins with `keep`;
-    for when all that read it has itself been written."""
-    remove(*[path for path in _WRITTEN if path not in but and not path.rsplit("/", 1)[-1].startswith(keep)])
+@contextmanager
+def temporary() -> Iterator[list[str]]:
+    """What is written inside goes at the end: for what only serves a result that has itself been written by then (to a path
+    of scratch() from before). Nothing that others wrote is touched."""
+    mine: list[str] = []
+    _OWNERS.append(mine)
+    try:
+        yield mine
+    finally:
+        _OWNERS.remove(mine)
+        remove(*mine)
 
 
 @atexit.register
@@ -76,16 +86,16 @@ def _remove_all() -> None:
             return
 
 
-def written(df: DataFrame, name: str = "stage") -> DataFrame:
+def written(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:
     """Cut the lineage: write the rows as Parquet to the shared folder and read them again.
 
     A lost executor then costs a read of these files, not the stages before them."""
-    return written_at(df, name)[0]
+    return written_at(df, name, path)[0]
 
 
-def written_at(df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
-    """As written, with the path, for remove() after the last read."""
-    path = scratch(df.sparkSession, name)
+def written_at(df: DataFrame, name: str = "stage", path: str | None = None) -> tuple[DataFrame, str]:
+    """As written, with the path (a new one, if none is given), for remove() after the last read."""
+    path = path or scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import WORD, chunks, mix64, remove, written_at
+from ._common import WORD, chunks, mix64, remove, scratch, temporary, written, written_at
 
 _WORDS = re.compile(WORD.encode())
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -414,9 +414,12 @@ def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     Of repeated rows one stays, and so does one of several texts under one id that are in one class; others under that
     id are in classes of their own. Rows without an id cannot be named and stay."""
     ids = docs.where("doc_id is not null")
-    first = near_classes(ids, similarity).where("doc_id = component_id").groupBy("root", "doc_id", "_text").agg(F.count("*").alias("rows"))
-    first = first.groupBy("root").agg(F.min(F.struct("doc_id", "_text", "rows")).alias("k")).select("k.*")
-    kept, _ = written_at(first, "kept")
+    path = scratch(docs.sparkSession, "kept")
+    with temporary():
+        # sketches, candidates and links have done their work once the ids that stay are written
+        first = near_classes(ids, similarity).where("doc_id = component_id").groupBy("root", "doc_id", "_text").agg(F.count("*").alias("rows"))
+        first = first.groupBy("root").agg(F.min(F.struct("doc_id", "_text", "rows")).alias("k")).select("k.*")
+        kept = written(first, path=path)
 
     def of(some: DataFrame) -> DataFrame:
         is_kept = (F.col("d.doc_id") == F.col("k.doc_id")) & (F.xxhash64("d.text") == F.col("k._text"))

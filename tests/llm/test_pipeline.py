@@ -3,7 +3,7 @@
 import pytest
 
 import corpus_pipeline
-from etholake.llm import mixing, toxicity
+from etholake.llm import _common, mixing, simhash, toxicity
 from tests.llm.conftest import table
 from tests.llm.test_suffixes import brute
 from tests.llm.test_toxicity import _labelled
@@ -46,7 +46,28 @@ def test_stages(spark, folder):
 
 
 def test_run(spark, folder):
-    assert corpus_pipeline.run(spark, folder).count() > 0
+    mark = set(_common._WRITTEN)
+    packed = corpus_pipeline.run(spark, folder)
+    # of all that the stages wrote, the last one's input is left
+    assert [p.rsplit("/", 1)[-1].rsplit("-", 1)[0] for p in set(_common._WRITTEN) - mark] == ["pipeline-mixing"]
+    assert packed.count() > 0
+
+
+def test_stages_compose_without_writes(spark, folder):
+    """No stage deletes what another's result, or another query, still reads."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    one = corpus_pipeline.toxicity_stage(spark, docs, folder)
+    classes = simhash.classes(simhash.with_fingerprints(one))
+    two = corpus_pipeline.near_dedup_stage(spark, one, folder)
+    three = corpus_pipeline.suffix_dedup_stage(spark, two, folder)
+    four = corpus_pipeline.mixing_stage(spark, three, folder)
+    assert corpus_pipeline.packing_stage(spark, four, folder).count() > 0
+    assert classes.count() == one.count() >= two.count() >= three.count() > 0
+
+
+def test_packing_takes_odd_rows(spark, odd, empty, folder):
+    assert corpus_pipeline.packing_stage(spark, odd, folder).select("doc_id").distinct().count() == odd.select("doc_id").distinct().count()
+    assert corpus_pipeline.packing_stage(spark, empty, folder).count() == 0
 
 
 def test_stages_take_odd_rows(spark, odd, empty, folder):
