@@ -21,7 +21,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,8 +29,9 @@ from ._common import chunks, written
 
 #: A term: a run of ASCII letters and digits and of all that is not ASCII. Valid in Java, Python and RE2 patterns.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-_TERMS = regex.compile(TERM)
-_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+#: The same over UTF-8: bytes of terms, A-Z lower-cased, and spaces for all else.
+_BYTES = bytes(b if b >= 0x80 or chr(b).isalnum() else 32 for b in range(256)).lower()
+_MARKS = bytes(32 if b == 32 else 97 for b in _BYTES)
 BLOCK = 128
 SHARD_CHARS = 1 << 25
 BATCH = 256
@@ -45,11 +45,21 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(text, string.ascii_uppercase, string.ascii_lowercase), F.lit(TERM), F.lit(0))
 
 
+def terms_of(text: str | None) -> list[bytes]:
+    return (text or "").encode().translate(_BYTES).split()
+
+
 def totals(docs: DataFrame) -> tuple[int, int]:
     """N, the documents with a term, and L, all terms."""
-    n = F.regexp_count("text", F.lit(TERM)).cast("long")
-    found = docs.select(F.count_if(n > 0).alias("n"), F.sum(n).alias("l")).first()
-    return found["n"], found["l"] or 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            # a term begins where a byte of one follows a space
+            n = [(b" " + (t or "").encode().translate(_MARKS)).count(b" a") for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_pydict({"n": [sum(x > 0 for x in n)], "l": [sum(n)]})
+
+    found = docs.select("text").mapInArrow(run, "n long, l long").agg(F.sum("n").alias("n"), F.sum("l").alias("l")).first()
+    return found["n"] or 0, found["l"] or 0
 
 
 def _impact(tf: np.ndarray, norm: np.ndarray) -> np.ndarray:
@@ -103,18 +113,18 @@ def index(docs: DataFrame, n_docs: int, n_terms: int, shard_chars: int = SHARD_C
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         base, n_shard = (context.partitionId() if context else 0) << 32, 0
-        number: dict[str, int] = {}
+        number: dict[bytes, int] = {}
         held, ids, lengths, chars = [], [], [], 0
 
         def emit() -> pa.RecordBatch:
             n = np.array(lengths, dtype=np.int64)
-            return _compressed(base + n_shard, list(number), np.concatenate(held), np.repeat(np.arange(len(n)), n), ids, n, n_docs, n_terms)
+            return _compressed(base + n_shard, [w.decode() for w in number], np.concatenate(held), np.repeat(np.arange(len(n)), n), ids, n, n_docs, n_terms)
 
         for b in batches:
             doc_ids = b.column("doc_id").to_pylist()
             for start, texts in chunks(b.column("text").to_pylist()):
                 for d, t in zip(doc_ids[start : start + len(texts)], texts):
-                    found = _TERMS.findall((t or "").translate(_LOWER))
+                    found = terms_of(t)
                     if found:
                         held.append(np.fromiter((number.setdefault(w, len(number)) for w in found), dtype=np.int32, count=len(found)))
                         ids.append(d)
@@ -217,6 +227,8 @@ def search(indexed: DataFrame, queries: DataFrame, n_docs: int, k: int = 50, bat
     df = held.select("term", "df").join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("df").alias("_df"))
     weight = F.floor(1000 * F.log(F.lit(2.0 * n_docs + 2) / (2 * F.col("_df") + 1))).cast("long")
     wanted = pairs.join(df, "term").groupBy("_batch", "term").agg(F.collect_list("_q").alias("qs"), F.first(weight).alias("weight")).where("weight > 0")
+    # written, so that Spark knows its size and broadcasts it if it is small
+    wanted = written(wanted, "wand-terms")
     lists = held.drop("ids", "norms").join(wanted, "term")
     shards = indexed.where("term IS NULL").select("shard", "ids", "norms").join(lists.select("shard", "_batch").distinct(), "shard").select(F.col("shard").alias("_shard"), F.col("_batch").alias("_part"), "ids", "norms")
     kind = "_q long, doc_id long, score long"
