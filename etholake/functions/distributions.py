@@ -43,6 +43,17 @@ def chi2_tail(x: float, k: float) -> float:
     return front * h
 
 
+def chi2_quantile(share: float, k: float) -> float:
+    """The value that this share of the distribution lies below, by bisection."""
+    low, high = 0.0, 1.0
+    while chi2_tail(high, k) > 1 - share:
+        high *= 2
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi2_tail(middle, k) > 1 - share else (low, middle)
+    return (low + high) / 2
+
+
 def beta_regularised(x: float, a: float, b: float) -> float:
     if x <= 0 or x >= 1:
         return float(x >= 1)

@@ -18,11 +18,15 @@ from ..operators import transitions as tr
 KEYS = ("uuid", "grp", "SessionName", "SubjectName")
 
 
-def validate_extractions(frames: DataFrame, scalars: Sequence[str], area: str, speed: str, ts: str = "ts") -> dict[str, DataFrame]:
+def validate_extractions(frames: DataFrame, scalars: Sequence[str], area: str, speed: str, ts: str = "ts", outliers: str = "robust") -> dict[str, DataFrame]:
     """Quality of sessions' frames (uuid, grp, ts, scalars): flags (each flag's share and whether it is raised), outliers
-    (sessions whose mean scalars lie apart), warnings (how many have any flag)."""
+    (sessions whose mean scalars lie apart: by a robust covariance, or by quartiles, 'iqr'), warnings (how many have any
+    flag)."""
+    if outliers not in ("robust", "iqr"):
+        raise ValueError(f"outliers must be 'robust' or 'iqr', not {outliers!r}")
     flagged = quality.flags(quality.counts(frames, area, speed, scalars), quality.dropped_frames(frames, ts))
-    outliers = quality.iqr_outliers(quality.summary(frames, scalars), [f"{c}_mean" for c in scalars])
+    find = quality.robust_outliers if outliers == "robust" else quality.iqr_outliers
+    outliers = find(quality.summary(frames, scalars), [f"{c}_mean" for c in scalars])
     return {"flags": flagged, "outliers": outliers, "warnings": quality.warnings(flagged)}
 
 
