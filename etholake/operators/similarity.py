@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 METRICS = ("euclidean", "cosine")
+#: Vectors of a block of a distance matrix.
+BLOCK_ROWS = 512
 #: Clustering is for the syllables of a model; more items than this are refused rather than gathered.
 MOST_ITEMS = 2_000
 
@@ -16,16 +19,52 @@ def centroids(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return vectors.select(key, F.posexplode(vector).alias("dim", "_v")).groupBy(key, "dim").agg(F.avg("_v").alias("value"))
 
 
-def pair_distances(components: DataFrame, key: str, metric: str = "euclidean") -> DataFrame:
-    """a, b, dist for a < b, from (key, dim, value): an equi-join on dim, summed over it."""
+def _cell(left: np.ndarray, right: np.ndarray, metric: str) -> np.ndarray:
+    """Distances of all rows of one block to all of another, over the components that both have (NaN: none); NaN without any."""
+    out = np.full((len(left), len(right)), np.nan)
+    for i, x in enumerate(left):
+        both = ~np.isnan(x) & ~np.isnan(right)
+        if metric == "euclidean":
+            d = np.sqrt(np.where(both, (x - right) ** 2, 0.0).sum(1))
+        else:
+            dot, a, b = (np.where(both, v, 0.0).sum(1) for v in (x * right, np.broadcast_to(x * x, right.shape), right * right))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                d = 1 - dot / (np.sqrt(a) * np.sqrt(b))
+        out[i] = np.where(both.any(1), d, np.nan)
+    return out
+
+
+def pair_distances(components: DataFrame, key: str, metric: str = "euclidean", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """a, b, dist for a < b, from (key, dim, value): vectors are gathered once and dealt into blocks of about block_rows; each two
+    blocks meet in one task as matrices. What is shuffled is a vector for each block, not a row for each pair and component.
+
+    Components that only one of two items has do not count; items without a common one have no row."""
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}, not {metric!r}")
-    side = lambda n, v: components.select("dim", F.col(key).alias(n), F.col("value").alias(v))
-    pairs = side("a", "x").join(side("b", "y"), "dim").where("a < b").groupBy("a", "b")
-    if metric == "euclidean":
-        return pairs.agg(F.sqrt(F.sum((F.col("x") - F.col("y")) ** 2)).alias("dist"))
-    dot = F.sum(F.col("x") * F.col("y"))
-    return pairs.agg((1 - F.try_divide(dot, F.sqrt(F.sum(F.col("x") ** 2)) * F.sqrt(F.sum(F.col("y") ** 2)))).alias("dist"))
+    vectors = components.groupBy(F.col(key).alias("item")).agg(F.array_sort(F.collect_list(F.struct("dim", F.col("value").cast("double").alias("value")))).alias("v"))
+    sized = vectors.sparkSession.sql("SELECT *, (SELECT greatest(1, ceil(count(*) / {n})) FROM {v}) AS blocks FROM {v}", v=vectors, n=int(block_rows))
+    dealt = sized.withColumn("own", F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
+    cells = dealt.select("item", "own", F.col("v.dim").alias("dims"), F.col("v.value").alias("values"), F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    kind = components.schema[key].dataType.simpleString()
+
+    def run(t: pa.Table) -> pa.Table:
+        own, dims = np.array(t.column("own")), t.column("dims").to_pylist()
+        place = {d: i for i, d in enumerate(sorted({d for row in dims for d in row}))}
+        x = np.full((t.num_rows, len(place)), np.nan)
+        for row, ds, vs in zip(x, dims, t.column("values").to_pylist()):
+            row[[place[d] for d in ds]] = [np.nan if v is None else v for v in vs]
+        low, high = t.column("low")[0].as_py(), t.column("high")[0].as_py()
+        i, j = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        d = _cell(x[i], x[j], metric)
+        if low == high:
+            d[np.tril_indices(len(i))] = np.nan
+        at = np.nonzero(~np.isnan(d))
+        names = t.column("item").to_pylist()
+        pairs = [(names[a], names[b]) for a, b in zip(i[at[0]].tolist(), j[at[1]].tolist())]
+        first, second = ([f(p) for p in pairs] for f in (min, max))
+        return pa.table({"a": pa.array(first, t.schema.field("item").type), "b": pa.array(second, t.schema.field("item").type), "dist": pa.array(d[at], pa.float64())})
+
+    return cells.groupBy("low", "high").applyInArrow(run, f"a {kind}, b {kind}, dist double")
 
 
 def complete_linkage(pairs: DataFrame) -> DataFrame:

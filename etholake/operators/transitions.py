@@ -163,6 +163,47 @@ def circular_layout(nodes: DataFrame) -> DataFrame:
     return nodes.withColumns({"x": F.cos(angle), "y": F.sin(angle)})
 
 
+def spring_layout(nodes: DataFrame, e: DataFrame, rounds: int = 50, seed: int = 0) -> DataFrame:
+    """grp, syllable, x, y: force-directed layouts (Fruchterman and Reingold 1991) of all groups' graphs at once, scaled into
+    the unit square about 0. Nodes begin at places hashed from the seed and their syllable, so a layout is the same whenever
+    it is drawn; edges pull with their p, and every node pushes every other.
+
+    A graph is one row, its nodes and the matrix of its edges as arrays: a model's syllables are some hundreds at most."""
+    part = lambda salt: F.pmod(F.xxhash64("syllable", F.lit(seed), F.lit(salt)), F.lit(1_000_003)) / 1_000_003.0
+    drawn = nodes.select("grp", "syllable").distinct().withColumns({"x": part(0), "y": part(1)})
+    graph = drawn.groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("syllable", "x", "y"))).alias("_p"))
+    ends = graph.select("grp", F.col("_p.syllable").alias("_ids")).select("grp", "_ids", F.explode("_ids").alias("src")).select("grp", "src", F.explode("_ids").alias("dst"))
+    cells = ends.join(e.select("grp", "src", "dst", "p"), ["grp", "src", "dst"], "left").groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("src", "dst", F.coalesce("p", F.lit(0.0)).alias("p")))).alias("_e"))
+    d = graph.join(cells, "grp").select("grp", "_p", F.col("_e.p").alias("_a"), F.size("_p").alias("_n"))
+    xs, ys = F.col("_p.x"), F.col("_p.y")
+    reach = F.greatest(F.array_max(xs) - F.array_min(xs), F.array_max(ys) - F.array_min(ys)) * 0.1
+    best = F.sqrt(1.0 / F.col("_n"))
+
+    def force(p: Column, i: Column) -> Column:
+        def add(s: Column, j: Column) -> Column:
+            dx, dy = F.get(p, i)["x"] - F.get(p, j)["x"], F.get(p, i)["y"] - F.get(p, j)["y"]
+            far = F.greatest(F.sqrt(dx * dx + dy * dy), F.lit(0.01))
+            push = best * best / (far * far) - F.get("_a", i * F.col("_n") + j) * far / best
+            return F.struct((s["x"] + dx * push).alias("x"), (s["y"] + dy * push).alias("y"))
+
+        return F.aggregate(F.sequence(F.lit(0), F.col("_n") - 1), F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y")), add)
+
+    def moved(p: Column, heat: Column) -> Column:
+        forces = F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda i: F.struct(F.get(p, i).alias("p"), force(p, i).alias("f")))
+        step = lambda v: heat / F.greatest(F.sqrt(v["f"]["x"] * v["f"]["x"] + v["f"]["y"] * v["f"]["y"]), F.lit(0.01))
+        return F.transform(forces, lambda v: F.struct((v["p"]["x"] + v["f"]["x"] * step(v)).alias("x"), (v["p"]["y"] + v["f"]["y"] * step(v)).alias("y")))
+
+    start = F.transform("_p", lambda v: F.struct(v["x"].alias("x"), v["y"].alias("y")))
+    places = F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), start, lambda p, k: moved(p, F.col("_reach") * (1 - k / (rounds + 1.0))))
+    d = d.withColumn("_reach", reach).select("grp", F.col("_p.syllable").alias("_ids"), places.alias("_q"))
+    mean = lambda c: F.aggregate(F.col(f"_q.{c}"), F.lit(0.0), lambda s, v: s + v) / F.size("_q")
+    d = d.withColumns({"_mx": mean("x"), "_my": mean("y")})
+    wide = F.greatest(F.array_max(F.transform(F.col("_q.x"), lambda v: F.abs(v - F.col("_mx")))), F.array_max(F.transform(F.col("_q.y"), lambda v: F.abs(v - F.col("_my")))))
+    out = d.withColumn("_w", wide).select("grp", "_mx", "_my", "_w", F.explode(F.arrays_zip("_ids", "_q")).alias("_z"))
+    at = lambda c: F.coalesce(F.try_divide(F.col(f"_z._q.{c}") - F.col(f"_m{c}"), F.col("_w")), F.lit(0.0)).alias(c)
+    return out.select("grp", F.col("_z._ids").alias("syllable"), at("x"), at("y"))
+
+
 def graph_grid(names: Sequence[str], groups: Sequence[str]) -> list[list[str | None]]:
     """Upper triangle of graphs: groups down the diagonal, the differences beside it, row by row in the order given."""
     others = iter([x for x in names if x not in set(groups)])
