@@ -41,6 +41,8 @@ SHARD_ROWS, LEAF_ROWS = 8_192, 128
 SAMPLE, LEAST_SAMPLE = 32_768, 16
 #: Pairs that a shard looks at in one step, and links that it holds before it thins them out to a spanning forest.
 STEP_PAIRS, MOST_LINKS = 1 << 21, 1 << 20
+#: Candidates of a node that one round of confirming takes from a block; the next round takes the next ones.
+NEAREST = 8
 #: Parts of a 64-bit fingerprint with a tree each.
 PARTS = 4
 #: Near-duplicates: words of a shingle, similarity of the sets of shingles, 64-bit words of the longer fingerprint, bits
@@ -267,10 +269,33 @@ class Links:
         return self.found[0]
 
 
-def block_links(words: np.ndarray, role: np.ndarray, part: Part, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A spanning forest, as (index, index, distance), of the links between a block's residents and between these and its
-    guests: pairs that differ in at most part.slack bits of the part and in at most radius bits in all."""
-    values, found, rng = part.of(words), Links(len(words)), np.random.default_rng(SEED)
+class Nearest(Links):
+    """Links between different classes that are not settled yet: of these, every node keeps its NEAREST nearest."""
+
+    def __init__(self, classes: np.ndarray, settled: np.ndarray) -> None:
+        super().__init__(len(classes))
+        self.classes, self.settled = classes, settled
+
+    def add(self, a: np.ndarray, b: np.ndarray, dist: np.ndarray) -> None:
+        new = self.classes[a] != self.classes[b]
+        new &= ~np.isin(np.minimum(a, b) * self.n + np.maximum(a, b), self.settled)
+        super().add(a[new], b[new], dist[new])
+
+    def forest(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        none = np.zeros(0, dtype=np.int64)
+        a, b, dist = (np.concatenate(c) for c in zip(*self.found)) if self.found else (none, none, none)
+        ends = np.concatenate([a, b])
+        order = np.lexsort((np.tile(dist, 2), ends))
+        first = np.searchsorted(ends[order], ends[order])
+        i = np.unique(order[np.arange(len(order)) - first < NEAREST] % max(len(a), 1))
+        self.found, self.size = [(a[i], b[i], dist[i])], len(i)
+        return self.found[0]
+
+
+def block_links(words: np.ndarray, role: np.ndarray, part: Part, radius: int, found: Links | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What `found` keeps, a spanning forest by default, as (index, index, distance), of the links between a block's residents
+    and between these and its guests: pairs that differ in at most part.slack bits of the part and in at most radius bits in all."""
+    values, found, rng = part.of(words), found or Links(len(words)), np.random.default_rng(SEED)
     meet = not (role == HOST).any()
 
     def compare(residents: np.ndarray, others: np.ndarray, same: bool) -> None:
@@ -303,8 +328,12 @@ def block_links(words: np.ndarray, role: np.ndarray, part: Part, radius: int) ->
 
 def links(nodes: DataFrame, parts: list[Part], radius: int) -> DataFrame:
     """(a, b): links between nodes(node, w0, w1, ...), distinct fingerprints with a name. All that are near in a part and
-    within radius are connected by what is returned."""
-    names = [c for c in nodes.columns if c != "node"]
+    within radius are connected by what is returned.
+
+    With columns `root` (the class that a node is in) and `settled` (the nodes that it has been compared with), only links between
+    classes that are not settled count, and each node has its NEAREST nearest of them in every block."""
+    names = [c for c in nodes.columns if re.fullmatch(r"w\d+", c)]
+    more = [c for c in ("root", "settled") if c in nodes.columns]
     kind = nodes.schema["node"].dataType.simpleString()
     total = nodes.count()
     one_in = total // SAMPLE + 1
@@ -334,12 +363,20 @@ def links(nodes: DataFrame, parts: list[Part], radius: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(np.full(len(at), k, dtype=np.int32)), pa.array(role), *rows.columns], ["block", "part", "role", *rows.schema.names])
 
     def search(t: pa.Table) -> pa.Table:
-        a, b, _ = block_links(words_of(t), t.column("role").to_numpy(), parts[t.column("part")[0].as_py()], radius)
-        node = t.column("node")
+        node, found = t.column("node"), None
+        if more:
+            at, settled = {}, []
+            for i, name in enumerate(node.to_pylist()):
+                at.setdefault(name, []).append(i)
+            for i, names_ in enumerate(t.column("settled").to_pylist()):
+                settled += [min(i, j) * t.num_rows + max(i, j) for name in names_ or () for j in at.get(name, ())]
+            found = Nearest(np.unique(np.array(t.column("root").to_pylist()), return_inverse=True)[1], np.array(settled, dtype=np.int64))
+        a, b, _ = block_links(words_of(t), t.column("role").to_numpy(), parts[t.column("part")[0].as_py()], radius, found)
         return pa.table({"a": node.take(pa.array(a)), "b": node.take(pa.array(b))})
 
     fields = f"block int, part int, role int, node {kind}, {', '.join(f'{w} long' for w in names)}"
-    sent = nodes.select("node", *names).mapInArrow(send, fields)
+    fields += f", root {kind}, settled array<{kind}>" if more else ""
+    sent = nodes.select("node", *names, *more).mapInArrow(send, fields)
     return sent.groupBy("block").applyInArrow(search, f"a {kind}, b {kind}")
 
 
@@ -385,17 +422,47 @@ def classes(prints: DataFrame, radius: int = 4) -> DataFrame:
     return prints.join(found, F.col("fp") == F.col("node")).select("doc_id", "fp", "component_id")
 
 
-def alike(sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b): pairs of nodes of sketches(node, w0, ..., shingles) whose sets of shingles have at least this Jaccard
-    similarity. Candidates are a spanning forest for each block of fingerprints near in any part; each is confirmed."""
-    words = [c for c in sketches.columns if re.fullmatch(r"w\d+", c)]
-    nodes = sketches.select("node", *words).distinct()
-    pairs, _ = written_at(links(nodes, short_parts(len(words)), SKETCH_RADIUS).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+def confirmed(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+    """pairs(a, b) with `alike`: whether the nodes' sets of shingles have at least this Jaccard similarity."""
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets, _ = written_at(sketches.join(needed, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("s")), "shingles")
+    sets = written(sketches.join(needed, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("s")), "shingles")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
-    return both.where(shared >= F.lit(similarity) * (F.size("x") + F.size("y") - shared)).select("a", "b")
+    return both.select("a", "b", (shared >= F.lit(similarity) * (F.size("x") + F.size("y") - shared)).alias("alike"))
+
+
+def unsettled(nodes: DataFrame, judged: DataFrame) -> DataFrame:
+    """Those nodes, with root and settled, whose candidates connect several classes of confirmed links: only between these
+    classes can a link be missing."""
+    near = components(judged.select("a", "b")).withColumnRenamed("root", "_group")
+    sure = components(judged.where("alike").select("a", "b"))
+    member = near.join(sure, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = member.groupBy("_group").agg((F.min("root") != F.max("root")).alias("_several")).where("_several")
+    ends = judged.where(~F.col("alike"))
+    others = ends.select(F.col("a").alias("node"), F.col("b").alias("_o")).union(ends.select("b", "a")).groupBy("node").agg(F.collect_set("_o").alias("settled"))
+    return nodes.join(member.join(several, "_group", "left_semi").select("node", "root"), "node").join(others, "node", "left")
+
+
+def alike(sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b): pairs of nodes of sketches(node, w0, ..., shingles) whose sets of shingles have at least this Jaccard
+    similarity; they connect all such pairs that are candidates (near in a part and within the radius).
+
+    First a spanning forest of each block's candidates is confirmed. Where that fails for a link, the classes on its two sides
+    may still be alike by other candidates: these are searched, some for each node at a time, until none is left unjudged."""
+    words = [c for c in sketches.columns if re.fullmatch(r"w\d+", c)]
+    nodes, parts = sketches.select("node", *words).distinct(), short_parts(len(words))
+
+    def candidates(of: DataFrame) -> DataFrame:
+        return written(links(of, parts, SKETCH_RADIUS).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+
+    judged = written(confirmed(candidates(nodes), sketches, similarity), "judged")
+    while not judged.where(~F.col("alike")).isEmpty():
+        open_ = written(unsettled(nodes, judged), "unsettled")
+        new = None if open_.isEmpty() else candidates(open_)
+        if new is None or new.isEmpty():
+            break
+        judged = written(judged.union(confirmed(new, sketches, similarity)), "judged")
+    return judged.where("alike").select("a", "b")
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -197,3 +197,38 @@ def test_odd_rows(odd, empty, spark):
     assert kept.columns == odd.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "4", "5", "6", "6", "7", "8", "None"]
     assert simhash.one_of_each(empty).count() == 0
     assert simhash.one_of_each(table(spark, ["same words in a row here"] * 5)).count() == 1
+
+
+def _sketches(spark, prints, sets):
+    """Sketches as they are made, but with fingerprints and sets of shingles of our choice."""
+    rows = [(f"n{i:03d}", *(int(np.uint64(w).view(np.int64)) for w in p), sorted(s)) for i, (p, s) in enumerate(zip(prints, sets))]
+    return spark.createDataFrame(rows, "node string, w0 long, w1 long, w2 long, shingles array<int>")
+
+
+def test_a_link_behind_two_that_fail(spark):
+    """Of three that are near each other only the two farthest are alike: a spanning tree of the candidates misses them."""
+    bits = lambda *at: sum(1 << i for i in at)
+    prints = [(0, 0, 0), (bits(*range(6), *range(20, 26)), 0, 0), (bits(*range(10)), 0, 0)]
+    d = [[int(np.bitwise_count(np.uint64(a[0] ^ b[0]))) for b in prints] for a in prints]
+    assert (d[0][2], d[1][2], d[0][1]) == (10, 10, 12)
+    sets = [set(range(100)), {*range(5, 105)}, set(range(500, 600))]
+    assert [tuple(r) for r in simhash.alike(_sketches(spark, prints, sets)).collect()] == [("n000", "n001")]
+
+
+def test_many_candidates_that_are_not_alike(spark):
+    """Forty near each other in every part, of which a few pairs are alike: more than one round of confirming takes."""
+    rng = np.random.default_rng(5)
+    prints = []
+    for _ in range(40):
+        p = np.zeros(3, dtype=np.uint64)
+        for b in rng.choice(192, rng.integers(1, 16), replace=False):
+            p[b // 64] ^= np.uint64(1) << np.uint64(b % 64)
+        prints.append(tuple(int(x) for x in p))
+    sets = [set(range(100 * i, 100 * i + 60)) for i in range(40)]
+    want = {(3, 31), (7, 8), (8, 39), (12, 20)}
+    for i, j in want:
+        sets[j] = sets[i] | {10_000 + j}
+    assert 3 * simhash.NEAREST < 40
+    got = {tuple(int(n[1:]) for n in r) for r in simhash.alike(_sketches(spark, prints, sets)).collect()}
+    assert got <= want | {(7, 39)} and {frozenset(g) for g in got} >= {frozenset(w) for w in ((3, 31), (12, 20))}
+    assert len(got & {(7, 8), (8, 39), (7, 39)}) >= 2
