@@ -2,7 +2,8 @@
 
 Python only tokenises: each text gets, for both tokenisers, its ids and the byte offsets where its tokens end. All else
 is Spark's functions over arrays: array_intersect of the ends gives the cuts, a sort of cuts and ends together gives each
-cut's position among the tokens (so nothing is searched), transform and sequence take groups out of the ids, aggregate adds up links.
+cut's position among the tokens (so nothing is searched), transform and sequence take groups out of the ids (one step for the many groups of one token
+on either side), aggregate adds up links.
 
 A document's links are kept as its distinct id pairs and how often each occurs; within a group only distinct ids are paired, so
 a long stretch without a common end stays small. How many documents hold a pair is counted after partial aggregation in
@@ -21,11 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from . import bpe
-from ._common import chunks, remove, written_at
+from ._common import chunks, written_at
 
 #: Pairs with counts up to which they are broadcast: about 100 MB as a hash table.
 BROADCAST_PAIRS = 1 << 21
-TOKENS = "a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>"
+#: Ids, where each token ends, and both packed: the end in the high half, the token's place (from 1) in the low one.
+TOKENS = "a_ids array<int>, a_ends array<int>, a_at array<bigint>, b_ids array<int>, b_ends array<int>, b_at array<bigint>"
 _LOW = 0xFFFFFFFF
 
 
@@ -77,8 +79,9 @@ def tokens(docs: DataFrame, bpe_path: str | None = None, piece_path: str | None
                 columns = [batch.column("doc_id").slice(start, len(texts))]
                 for (ids, n), (end, _) in zip(sides, ends):
                     keep, offsets = np.repeat(good, n), pa.array(np.append(0, np.cumsum(np.where(good, n, 0))), pa.int32())
-                    columns += [pa.ListArray.from_arrays(offsets, pa.array(x[keep], pa.int32())) for x in (ids, end)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "a_ids", "a_ends", "b_ids", "b_ends"])
+                    place = np.arange(len(ids)) - np.repeat(np.cumsum(n) - n, n) + 1
+                    columns += [pa.ListArray.from_arrays(offsets, pa.array(x[keep], t)) for x, t in ((ids, pa.int32()), (end, pa.int32()), (end << 32 | place, pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", *(f.split()[0] for f in TOKENS.split(", "))])
 
     kind = docs.schema["doc_id"].dataType
     assert to_arrow_type(kind) is not None
@@ -94,40 +97,50 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _positions(ends: Column, cuts: Column) -> Column:
-    """The place (from 1) of the token that ends at each cut. Cuts and ends are sorted together: a cut stands just before the
-    token that ends there, which has its place in the low half."""
-    both = F.sort_array(F.concat(F.transform(cuts, _high), F.transform(ends, lambda e, i: _high(e) + i + 1)))
-    return _let(both, lambda s: F.filter(F.transform(s, lambda x, i: F.when(x.bitwiseAND(F.lit(_LOW)) == 0, F.get(s, i + 1).bitwiseAND(F.lit(_LOW)).cast("int")).otherwise(0)), lambda p: p > 0))
+def cut(tokens: DataFrame) -> DataFrame:
+    """tokens with `at`: for each group, the places of its last tokens, a's in the high half and b's in the low one, after a zero.
 
+    Cuts and tokens are sorted together by the byte where they end; a cut stands just before the token that ends there."""
+    cuts = tokens.withColumn("_cuts", F.transform(F.array_intersect("a_ends", "b_ends"), _high))
+    low = lambda x: x.bitwiseAND(F.lit(_LOW))
+    last = lambda s: _let(F.sort_array(F.concat("_cuts", f"{s}_at")), lambda q: F.filter(q, lambda x, i: low(F.get(q, i - 1)) == 0))
+    at = F.zip_with(last("a"), last("b"), lambda x, y: F.shiftleft(low(x), 32) + low(y))
+    return cuts.withColumn("at", F.concat(F.array(F.lit(0).cast("long")), at)).drop("_cuts", "a_ends", "b_ends", "a_at", "b_at")
 
-def _since(ends: Column, i: Column) -> Column:
-    return F.when(i == 0, 0).otherwise(F.get(ends, i - 1))
 
+def _ids(at: Column, side: str, i: Column) -> Column:
+    """The ids of a side's tokens in group i."""
+    place = (lambda x: F.shiftright(x, 32).cast("int")) if side == "a" else lambda x: x.bitwiseAND(F.lit(_LOW)).cast("int")
+    # not slice(), which walks over all that lies before its start
+    return F.transform(F.sequence(place(F.get(at, i)), place(F.get(at, i + 1)) - 1), lambda j: F.get(f"{side}_ids", j))
 
-def groups(tokens: DataFrame) -> DataFrame:
-    """tokens with `groups`, array<struct<a: array<int>, b: array<int>>>: the ids between cuts, in order."""
-    cuts = tokens.withColumn("_cuts", F.array_intersect("a_ends", "b_ends"))
-    at = F.struct(*(_positions(F.col(f"{s}_ends"), F.col("_cuts")).alias(s) for s in "ab"))
 
-    def part(p: Column, side: str, i: Column) -> Column:
-        # not slice(), which walks over all that lies before its start
-        return F.transform(F.sequence(_since(p[side], i), F.get(p[side], i) - 1), lambda j: F.get(f"{side}_ids", j)).alias(side)
+def _numbers(at: Column) -> Column:
+    """0, 1, ... for the groups."""
+    return F.when(F.size(at) > 1, F.sequence(F.lit(0), F.size(at) - 2)).otherwise(F.array().cast("array<int>"))
 
-    cut = _let(at, lambda p: F.transform(F.sequence(F.lit(1), F.size(p["a"])), lambda _, i: F.struct(part(p, "a", i), part(p, "b", i))))
-    none = F.array().cast("array<struct<a:array<int>,b:array<int>>>")
-    return cuts.withColumn("groups", F.when(F.size("_cuts") > 0, cut).otherwise(none)).drop("_cuts")
 
+def groups(cuts: DataFrame) -> DataFrame:
+    """cut() with `groups`, array<struct<a: array<int>, b: array<int>>>: the ids between cuts, in order."""
+    at = F.col("at")
+    return cuts.withColumn("groups", F.transform(_numbers(at), lambda i: F.struct(_ids(at, "a", i).alias("a"), _ids(at, "b", i).alias("b"))))
 
-def _times(ids: Column, x: Column) -> Column:
-    return (F.size(ids) - F.size(F.array_remove(ids, x))).cast("long")
+
+def single(cuts: DataFrame) -> DataFrame:
+    """cut() with `single`: of each group of one token on either side, its pair (a's id in the high half), of others -1."""
+    at = F.col("at")
+    place = lambda x: (F.shiftright(x, 32).cast("int") - 1, x.bitwiseAND(F.lit(_LOW)).cast("int") - 1)
+
+    def pair(i: Column) -> Column:
+        a, b = place(F.get(at, i + 1))
+        one = F.get(at, i + 1) - F.get(at, i) == (1 << 32) + 1
+        return F.when(one, _high(F.get("a_ids", a)) + F.get("b_ids", b)).otherwise(F.lit(-1).cast("long"))
+
+    return cuts.withColumn("single", F.transform(_numbers(at), pair))
 
 
-def _pairs(g: Column) -> Column:
-    """(pair, times) of a group: each distinct id of one side with each of the other, a in the high half."""
-    one = F.array(F.struct((_high(g["a"][0]) + g["b"][0]).alias("pair"), F.lit(1).cast("long").alias("times")))
-    many = F.flatten(F.transform(F.array_distinct(g["a"]), lambda x: F.transform(F.array_distinct(g["b"]), lambda y: F.struct((_high(x) + y).alias("pair"), (_times(g["a"], x) * _times(g["b"], y)).alias("times")))))
-    return F.when((F.size(g["a"]) == 1) & (F.size(g["b"]) == 1), one).otherwise(many)
+def _times(ids: Column, x: Column) -> Column:
+    return (F.size(ids) - F.size(F.array_remove(ids, x))).cast("long")
 
 
 def _distinct(entries: Column) -> Column:
@@ -135,19 +148,28 @@ def _distinct(entries: Column) -> Column:
 
     def runs(s: Column) -> Column:
         stops = F.filter(F.transform(s, lambda x, i: F.when(F.get(s, i + 1) == x, 0).otherwise(i + 1)), lambda p: p > 0)
-        return _let(stops, lambda e: F.struct(F.transform(e, lambda p: F.get(s, p - 1)).alias("pairs"), F.transform(e, lambda p, i: (p - _since(e, i)).cast("long")).alias("times")))
+        since = lambda e, i: F.when(i == 0, 0).otherwise(F.get(e, i - 1))
+        return _let(stops, lambda e: F.struct(F.transform(e, lambda p: F.get(s, p - 1)).alias("pairs"), F.transform(e, lambda p, i: (p - since(e, i)).cast("long")).alias("times")))
+
+    return _let(F.sort_array(entries), runs)
 
-    return _let(F.sort_array(F.transform(entries, lambda x: x["pair"])), runs)
 
+def links(cuts: DataFrame) -> DataFrame:
+    """cut() with n_links, `pairs` (distinct linked pairs, a's id in the high half), `times` (how many groups hold each), `more`
+    (pair and times beyond that, where a group itself repeats ids) and `single`.
 
-def links(grouped: DataFrame) -> DataFrame:
-    """grouped with n_links, `pairs` (distinct linked pairs, a's id in the high half), `times` (how many groups hold each) and
-    `more` (pair and times beyond that, where a group itself repeats ids)."""
-    n = F.aggregate("groups", F.lit(0).cast("long"), lambda acc, g: acc + F.size(g["a"]).cast("long") * F.size(g["b"]))
-    entries = F.flatten(F.transform("groups", _pairs))
-    found = _let(entries, lambda e: F.struct(_distinct(e).alias("d"), F.transform(F.filter(e, lambda x: x["times"] > 1), lambda x: F.struct(x["pair"].alias("pair"), (x["times"] - 1).alias("times"))).alias("more")))
-    out = grouped.withColumn("_links", found)
-    return out.select(*grouped.columns, n.alias("n_links"), F.col("_links.d.pairs").alias("pairs"), F.col("_links.d.times").alias("times"), F.col("_links.more").alias("more"))
+    Within a group only distinct ids are paired."""
+    with_single = single(cuts)
+    several = F.filter(_numbers(F.col("at")), lambda i: F.get("single", i) < 0)
+    d = with_single.withColumn("_large", F.transform(several, lambda i: F.struct(_ids(F.col("at"), "a", i).alias("a"), _ids(F.col("at"), "b", i).alias("b"))))
+    pairs = lambda g: F.flatten(F.transform(F.array_distinct(g["a"]), lambda x: F.transform(F.array_distinct(g["b"]), lambda y: _high(x) + y)))
+    repeats = F.filter("_large", lambda g: (F.size(F.array_distinct(g["a"])) < F.size(g["a"])) | (F.size(F.array_distinct(g["b"])) < F.size(g["b"])))
+    beyond = lambda g: F.flatten(F.transform(F.array_distinct(g["a"]), lambda x: F.transform(F.array_distinct(g["b"]), lambda y: F.struct((_high(x) + y).alias("pair"), (_times(g["a"], x) * _times(g["b"], y) - 1).alias("times")))))
+    d = d.withColumn("_d", _distinct(F.concat(F.filter("single", lambda x: x >= 0), F.flatten(F.transform("_large", pairs)))))
+    large = F.aggregate("_large", F.lit(0).cast("long"), lambda acc, g: acc + F.size(g["a"]).cast("long") * F.size(g["b"]))
+    n = large + F.size("single") - F.size("_large")
+    more = F.filter(F.flatten(F.transform(repeats, beyond)), lambda x: x["times"] > 0)
+    return d.select(*with_single.columns, n.alias("n_links"), F.col("_d.pairs").alias("pairs"), F.col("_d.times").alias("times"), more.alias("more"))
 
 
 def pair_counts(linked: DataFrame) -> DataFrame:
@@ -160,19 +182,25 @@ def pair_counts(linked: DataFrame) -> DataFrame:
 
 def aligned(docs: DataFrame, bpe_path: str | None = None, piece_path: str | None = None) -> DataFrame:
     """doc_id, a_ids, b_ids, groups, n_links, pairs, times, more for every row of docs; repeated rows are aligned each."""
-    return links(groups(tokens(docs, bpe_path, piece_path))).drop("a_ends", "b_ends")
+    return groups(links(cut(tokens(docs, bpe_path, piece_path)))).drop("at", "single")
+
+
+def text_of(at: Column, pairs: Column) -> Column:
+    """Groups as text: ids by commas, sides by a bar, groups by semicolons."""
+    words = lambda side, i: F.array_join(_ids(at, side, i).cast("array<string>"), ",")
+    one = lambda x: F.concat(F.shiftright(x, 32).cast("string"), F.lit("|"), x.bitwiseAND(F.lit(_LOW)).cast("string"))
+    return F.array_join(F.transform(pairs, lambda x, i: F.when(x >= 0, one(x)).otherwise(F.concat(words("a", i), F.lit("|"), words("b", i)))), ";")
 
 
 def digests(docs: DataFrame, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
     """One row per row of docs: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
-    text = F.array_join(F.transform("groups", lambda g: F.concat_ws("|", *(F.array_join(g[s].cast("array<string>"), ",") for s in "ab"))), ";")
     size = lambda c: F.size(c).cast("long")
-    rows = aligned(docs).select(
-        F.monotonically_increasing_id().alias("_row"), "doc_id", size("a_ids").alias("n_a"), size("b_ids").alias("n_b"), size("groups").alias("n_groups"), "n_links",
-        F.when(F.size("a_ids") > 0, F.sha2(text, 256)).otherwise("").alias("groups_sha256"), "pairs", "times", "more",
+    rows = links(cut(tokens(docs))).select(
+        F.monotonically_increasing_id().alias("_row"), "doc_id", size("a_ids").alias("n_a"), size("b_ids").alias("n_b"), size("single").alias("n_groups"), "n_links",
+        F.when(F.size("a_ids") > 0, F.sha2(text_of(F.col("at"), F.col("single")), 256)).otherwise("").alias("groups_sha256"), "pairs", "times", "more",
     )
     rows, _ = written_at(rows, "alignment")
-    counts, counts_path = written_at(pair_counts(rows), "alignment-counts")
+    counts, _ = written_at(pair_counts(rows), "alignment-counts")
     held = F.concat(F.arrays_zip("pairs", "times").cast("array<struct<pair:bigint,times:bigint>>"), F.col("more"))
     each = rows.select("_row", F.explode(held).alias("x")).select("_row", "x.pair", "x.times")
     few = counts.limit(broadcast_pairs + 1).count() <= broadcast_pairs

@@ -91,7 +91,8 @@ def test_groups_and_links(spark):
 
 def test_a_group_that_repeats_ids_stays_small(spark):
     """Two thousand by two thousand links of one pair are one entry."""
-    ends = [*range(1, 3999, 2), 4001]
-    tokens = spark.createDataFrame([(1, [7] * 2000, ends, [9] * 2000, [*range(2, 4000, 2), 4001])], "doc_id long, " + alignment.TOKENS)
-    r = alignment.links(alignment.groups(tokens)).first()
+    packed = lambda ends: [e << 32 | i + 1 for i, e in enumerate(ends)]
+    a, b = [*range(1, 3999, 2), 4001], [*range(2, 4000, 2), 4001]
+    tokens = spark.createDataFrame([(1, [7] * 2000, a, packed(a), [9] * 2000, b, packed(b))], "doc_id long, " + alignment.TOKENS)
+    r = alignment.links(alignment.cut(tokens)).first()
     assert r["n_links"] == 4_000_000 and r["pairs"] == [7 << 32 | 9] and [tuple(m) for m in r["more"]] == [(7 << 32 | 9, 3_999_999)]
