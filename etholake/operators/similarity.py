@@ -95,21 +95,31 @@ def complete_linkage(pairs: DataFrame) -> DataFrame:
     return pairs.sparkSession.createDataFrame(rows, "step int, `left` int, `right` int, height double, size int")
 
 
-def leaf_order(merges: DataFrame) -> list[int]:
-    """Items in dendrogram order."""
+def leaves(merges: DataFrame, share: float = 0.7) -> list[tuple[int, int]]:
+    """(item, cluster) in dendrogram order: items that merge at under `share` of the last merge's height are one cluster."""
     rows = merges.orderBy("step").collect()
     n = len(rows) + 1
-    kids = {n + r["step"]: (r["left"], r["right"]) for r in rows}
-    order, todo = [], [n + len(rows) - 1] if rows else [0]
+    kids = {n + r["step"]: (r["left"], r["right"], r["height"]) for r in rows}
+    limit = share * rows[-1]["height"] if rows else 0.0
+    order, cluster, todo = [], -1, [(n + len(rows) - 1, False)] if rows else [(0, False)]
     while todo:
-        x = todo.pop()
+        x, inside = todo.pop()
         if x in kids:
-            todo += kids[x][::-1]
+            left, right, height = kids[x]
+            whole = inside or height < limit
+            cluster += whole and not inside
+            todo += [(right, whole), (left, whole)]
         else:
-            order.append(x)
+            cluster += not inside
+            order.append((x, cluster))
     return order
 
 
+def leaf_order(merges: DataFrame) -> list[int]:
+    """Items in dendrogram order."""
+    return [x for x, _ in leaves(merges)]
+
+
 def leaf_labels(syllables: DataFrame, info: DataFrame | None) -> DataFrame:
     """'label-id' of each syllable; the id alone where there is no label."""
     if info is None:

@@ -83,6 +83,9 @@ def differences(values: DataFrame, on: Sequence[str], columns: Sequence[str], gr
     groups = [r[0] for r in values.select(group).distinct().orderBy(group).collect()]  # a handful of cohorts
     keyed = values.groupBy(*on).agg(F.map_from_entries(F.collect_list(F.struct(F.col(group), F.struct(*columns)))).alias("_m"))
     pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for i, a in enumerate(groups) for b in groups[i + 1 :]])
+    if len(groups) < 2:
+        kind = values.schema[group].dataType.simpleString()
+        pairs = F.array().cast(f"array<struct<a:{kind},b:{kind}>>")
     out = keyed.withColumn("_p", F.explode(pairs)).where(F.map_contains_key("_m", F.col("_p.a")) | F.map_contains_key("_m", F.col("_p.b")))
     value = lambda side, c: F.coalesce(F.try_element_at("_m", F.col(f"_p.{side}"))[c], F.lit(0.0))
     return out.select(F.concat_ws("-", "_p.b", "_p.a").alias("series"), *on, *[(value("b", c) - value("a", c)).alias(c) for c in columns])

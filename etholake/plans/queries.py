@@ -18,6 +18,7 @@ from ..operators import transitions as tr
 from ..sources import sessions
 from ..streaming import bouts as stream
 from . import tables as tb
+from . import tasks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -331,6 +332,47 @@ def graph_circular_layout(spark, sf):
     return d.withColumns({c: F.col(c) + F.lit(0.0) for c in ("x", "y")})
 
 
+@query()
+def graph_spring_layout(spark, sf):
+    return rounded(tr.spring_layout(_usage(spark, sf), _graph(spark, sf)), "x", "y")
+
+
+# ---- what a user asks for in one call
+
+
+def _info(spark, sf):
+    return fr.usage_order(tb.event_frames(spark, sf), "event_type").select(F.col("sorted_id").alias("syllable"), F.col("event_type").alias("label"))
+
+
+@query(f"""WITH {tb.BOUTS}, x AS (SELECT CAST(min(syllable) + 1 AS BIGINT) AS most FROM (SELECT syllable, sum(n) OVER (ORDER BY syllable) / (SELECT sum(n) FROM o) AS c FROM o) WHERE c * 100 >= 75),
+k AS (SELECT b.* FROM b, x WHERE syllable < most AND frames BETWEEN 2 AND 60), d AS (SELECT syllable, median(frames) AS m FROM k GROUP BY ALL),
+c AS (SELECT k.*, row_number() OVER (PARTITION BY syllable ORDER BY abs(frames - m), uuid, run) AS example FROM k JOIN d USING (syllable))
+SELECT syllable, uuid, run, start, frames, CAST(example AS INT) AS example FROM c WHERE example <= 20""")
+def task_label_examples(spark, sf):
+    d = tasks.label_syllables(tb.labelled_frames(spark, sf), _info(spark, sf), n_explained=75, select_median_duration_instances=True, least_frames=2)["examples"]
+    return d.select("syllable", "uuid", F.col("run").cast("long").alias("run"), "start", "frames", "example")
+
+
+@query(f"WITH {_GRAPH} SELECT grp, src, dst, round(p, 6) AS p, round(p * 250, 6) AS width FROM p WHERE (src, dst) IN (SELECT (src, dst) FROM h WHERE grp = '{A}')")
+def task_transition_graph(spark, sf):
+    d = tasks.transition_graphs(tb.labelled_frames(spark, sf), p=(0.045, 1.0), usage=(0.19, 1.0), anchor=A)["edges"]
+    return rounded(d.select("grp", "src", "dst", "p", "width"), "p", "width")
+
+
+@query(f"WITH {tb.FRAMES}, g AS (SELECT min(value) AS a, max(value) AS b, min(k) AS c, max(k) AS d FROM fr), n AS (SELECT uuid, SubjectName, syllable, least(floor((value - a) / (b - a) * 20), 19)::INT AS xbin, least(floor((k - c) / (d - c) * 20), 19)::INT AS ybin, count(*) AS n FROM fr, g GROUP BY ALL), "
+       "h AS (SELECT *, n / sum(n) OVER (PARTITION BY uuid, SubjectName, syllable) AS pdf FROM n), q AS (SELECT SubjectName, syllable, count(DISTINCT uuid) AS m FROM h GROUP BY ALL) SELECT SubjectName, syllable, xbin, ybin, round(sum(pdf) / any_value(m), 6) AS pdf FROM h JOIN q USING (SubjectName, syllable) GROUP BY ALL")
+def task_positions_by_subject(spark, sf):
+    return rounded(tasks.compare_positions(tb.labelled_frames(spark, sf), "value", "k", 20, "SubjectName"), "pdf")
+
+
+@query(f"""WITH {tb.STATS}, {_ZERO}, m AS (SELECT grp, syllable, avg(usage) AS mean, stddev_samp(usage) / sqrt(count(usage)) AS error FROM z GROUP BY ALL),
+r AS (SELECT syllable, CAST(row_number() OVER (ORDER BY avg(usage) FILTER (grp = '{B}') - avg(usage) FILTER (grp = '{A}') DESC, syllable) - 1 AS INT) AS pos FROM z GROUP BY syllable)
+SELECT m.grp, m.syllable, event_type AS label, pos, round(mean, 6) AS mean, round(error, 6) AS error FROM m JOIN r USING (syllable) JOIN o USING (syllable) WHERE contains(lower(event_type), 'i') AND mean BETWEEN 0.1 AND 0.3""")
+def task_syllable_stats(spark, sf):
+    d = tasks.syllable_stats(tb.labelled_frames(spark, sf), ("value",), "usage", A, B, info=_info(spark, sf), text="I", between=(0.1, 0.3))["bars"]
+    return rounded(d.select("grp", "syllable", "label", "pos", "mean", "error"), "mean", "error")
+
+
 # ---- quality
 
 
@@ -401,6 +443,18 @@ def scalar_outlier_sessions(spark, sf):
     return quality.robust_outliers(_means(spark, sf), _SCALARS)
 
 
+@query(f"WITH {tb.LINES} SELECT uuid, CASE WHEN uuid % 3 = 0 THEN 'moved' ELSE grp END AS grp, " + ", ".join(f"round(avg({c}), 6) AS {c}_mean, round(stddev_samp({c}), 6) AS {c}_std" for c in _SCALARS) + " FROM l GROUP BY ALL")
+def task_scalar_summary(spark, sf):
+    moved = tb.read(spark, sf, "supplier").where("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("uuid"), F.lit("moved").alias("grp"))
+    return rounded(tasks.scalar_summary(tb.line_frames(spark, sf), _SCALARS, moved), *[f"{c}_{a}" for c in _SCALARS for a in ("mean", "std")])
+
+
+@query()
+def task_dendrogram_leaves(spark, sf):
+    e = tb.read(spark, sf, "embeddings").withColumn("embedding", F.col("embedding").cast("array<double>"))
+    return tasks.dendrogram_leaves(e, "label", "embedding", color_by_cluster=True)
+
+
 # ---- tests
 
 

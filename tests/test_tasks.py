@@ -129,6 +129,46 @@ def test_tasks(frames, tmp_path):
     assert tasks.dendrogram(frames.groupBy("syllable").agg(F.array(F.avg("v"), F.avg("w")).alias("x")), "syllable", "x").count() == 3
 
 
+def test_tasks_take_the_users_choices(frames):
+    every = tasks.transition_graphs(frames)
+    few = tasks.transition_graphs(frames, usage=(0.3, 1.0), keep_orphans=True, layout="spring")
+    assert few["edges"].count() < every["edges"].count()
+    ends = {(r["grp"], s) for r in few["edges"].collect() for s in (r["src"], r["dst"])}
+    alone = {(r["grp"], r["syllable"]) for r in few["orphans"].collect()}
+    assert {(r["grp"], r["syllable"]) for r in few["nodes"].collect()} == ends | alone and not ends & alone
+    anchored = tasks.transition_graphs(frames, p=(0.1, 1.0), anchor="a")
+    shape = {(r["src"], r["dst"]) for r in tasks.transition_graphs(frames, p=(0.1, 1.0))["edges"].where("grp = 'a'").collect()}
+    assert {(r["src"], r["dst"]) for r in anchored["edges"].collect()} == shape
+    with pytest.raises(ValueError):
+        tasks.transition_graphs(frames, layout="square")
+    info = frames.select("syllable").distinct().withColumn("label", F.concat(F.lit("Run "), F.col("syllable").cast("string")))
+    bars = tasks.syllable_stats(frames, ["v"], info=info, text="RUN 1")["bars"]
+    assert {r["syllable"] for r in bars.collect()} == {1}
+    assert tasks.syllable_stats(frames, ["v"], between=(2.0, 3.0))["bars"].count() == 0
+    whole = tasks.label_syllables(frames, info)["examples"]
+    some = tasks.label_syllables(frames, info, max_syllables=2, select_median_duration_instances=True)
+    assert {r["syllable"] for r in some["examples"].select("syllable").distinct().collect()} == {r["syllable"] for r in whole.where("syllable < 2").select("syllable").distinct().collect()}
+    assert some["info"].where("group_info IS NOT NULL").count() == 2
+    moved = tasks.scalar_summary(frames, ["v"], frames.where("uuid = 1").select("uuid", F.lit("new").alias("grp")).distinct())
+    assert {r["grp"] for r in moved.where("uuid = 1").collect()} == {"new"} and moved.where("grp <> 'new'").count() == 7
+    with pytest.raises(ValueError):
+        tasks.validate_extractions(frames, ["v", "w"], "w", "v", outliers="none")
+
+
+def test_leaves_of_a_dendrogram(spark):
+    at = {0: 0.0, 1: 10.0, 2: 0.5, 3: 10.4, 4: 30.0}
+    d = spark.createDataFrame([(k, [x, 0.0]) for k, x in at.items()], "syllable int, x array<double>")
+    info = spark.createDataFrame([(0, "rest"), (1, "")], "syllable int, label string")
+    rows = tasks.dendrogram_leaves(d, "syllable", "x", info=info, color_by_cluster=True).orderBy("pos").collect()
+    assert sorted(r["syllable"] for r in rows) == [0, 1, 2, 3, 4] and {r["syllable"]: r["text"] for r in rows}[0] == "rest-0"
+    together = {}
+    for r in rows:
+        together.setdefault(r["cluster"], set()).add(r["syllable"])
+    assert sorted(map(sorted, together.values())) == [[0, 1, 2, 3], [4]]
+    assert [r["cluster"] for r in rows] == sorted(r["cluster"] for r in rows)
+    assert tasks.dendrogram_leaves(d.where("syllable = 1"), "syllable", "x").collect()[0]["syllable"] == 1
+
+
 def test_flip_classifier_on_separable_images(spark, tmp_path):
     """Images that are bright on one side are told apart, also after the model was written and read."""
     rng = np.random.default_rng(0)
