@@ -698,6 +698,36 @@ def session_discovery(spark, sf):
     return d.select(F.regexp_extract("path", "rec-([0-9]+)", 1).cast("long").alias("path"), "folder", "name")
 
 
+#: Orders as the files of their customers' sessions, what file each is by its number.
+_KINDS = ("depth.dat", "ir.dat", "metadata.json", "proc/results_00.h5", "proc/results_00.yaml", "proc/results_00_flipped.mp4", "notes.txt")
+_LISTING = "f AS (SELECT o_custkey AS c, o_orderkey % 7 AS k, '/data/dir-' || o_custkey || '/' || CASE o_orderkey % 7 " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(_KINDS)) + " END AS path FROM orders)"
+
+
+def _listing(spark, sf):
+    kind = F.element_at(F.array(*map(F.lit, _KINDS)), (F.col("o_orderkey") % 7 + 1).cast("int"))
+    return tb.read(spark, sf, "orders").select(F.concat(F.lit("/data/dir-"), F.col("o_custkey").cast("string"), F.lit("/"), kind).alias("path"))
+
+
+_STATES = f"{_LISTING}, s AS (SELECT '/data/dir-' || c AS folder, count(*) FILTER (k = 0) AS recordings, bool_or(k = 2) AS metadata, bool_or(k = 3) AS extracted, bool_or(k = 3) AND bool_or(k = 4) AS complete, bool_or(k = 5) AS flipped FROM f GROUP BY c HAVING count(*) FILTER (k = 0) > 0 OR bool_or(k = 3))"
+
+
+@query(f"WITH {_STATES} SELECT * FROM s")
+def session_states(spark, sf):
+    return sessions.session_states(_listing(spark, sf))
+
+
+@query(f"WITH {_STATES} SELECT count(*) AS sessions, count(*) FILTER (metadata) AS with_metadata, count(*) FILTER (extracted) AS extracted, count(*) FILTER (complete) AS complete, count(*) FILTER (flipped) AS flipped, FALSE AS pca, FALSE AS pca_scores, FALSE AS changepoints, FALSE AS \"index\", 0::BIGINT AS models FROM s")
+def project_state(spark, sf):
+    return sessions.project_state(_listing(spark, sf))
+
+
+@query(f"WITH {_LISTING}, h AS (SELECT DISTINCT c FROM f WHERE k = 3), a AS (SELECT DISTINCT c FROM f WHERE k IN (0, 1)) SELECT 'dir-' || a.c AS name, '/data/dir-' || a.c || '/proc/results_00.h5' AS path FROM a JOIN h ON a.c = h.c")
+def session_results(spark, sf):
+    files = _listing(spark, sf)
+    own = files.where(F.endswith("path", F.lit(".dat"))).select(F.regexp_extract("path", "/(dir-[0-9]+)/", 1).alias("name"), "path").dropDuplicates(["name"])
+    return sessions.results_of(own, files)
+
+
 @query("SELECT p_partkey, CASE WHEN TRUE THEN '#' || lpad(lower(printf('%x', least(255, floor((p_partkey % 256) * 1.6))::INT)), 2, '0') || lpad(lower(printf('%x', least(255, floor((p_size % 256) * 1.6))::INT)), 2, '0') || '1e' END AS colour FROM part")
 def colorscale_hex(spark, sf):
     p = tb.read(spark, sf, "part")

@@ -103,6 +103,59 @@ def resolved(sessions: DataFrame, *tables: DataFrame) -> DataFrame:
     return d.select("name", F.coalesce(*paths).alias("path")).where("path is not null")
 
 
+def results_of(sessions: DataFrame, files: DataFrame) -> DataFrame:
+    """Sessions (name, path) with the path of their extraction, by a listing (path) of what there is: proc/results_00.h5 beside
+    the session's file; else the file itself, if it is an .h5; else the .h5 beside its .mp4. Flipped ones, and sessions with
+    none of these, go."""
+    path = F.col("path")
+    folder = F.regexp_replace(path, "/[^/]*$", "")
+    ways = F.array(
+        F.concat(folder, F.lit("/proc/results_00.h5")), F.when(F.endswith(path, F.lit(".h5")), path),
+        F.when(F.endswith(path, F.lit(".mp4")), F.concat(F.expr("substr(path, 1, length(path) - 4)"), F.lit(".h5"))),
+    )
+    asked = sessions.where(~F.contains("name", F.lit("_flipped"))).select("name", F.col("path").alias("_own"), F.posexplode(ways).alias("_way", "path")).where("path IS NOT NULL")
+    there = files.select("path").distinct()
+    # an .mp4 must be there itself
+    mp4 = files.where(F.endswith("path", F.lit(".mp4"))).select(F.col("path").alias("_own"), F.lit(True).alias("_film")).distinct()
+    found = asked.join(there, "path", "left_semi").join(mp4, "_own", "left").where((F.col("_way") < 2) | F.col("_film"))
+    return found.groupBy("name").agg(F.min_by("path", "_way").alias("path"))
+
+
+#: The files that tell a finished step of a project, by the end of their path.
+STEPS = {"pca": "/_pca/pca.h5", "pca_scores": "/_pca/pca_scores.h5", "changepoints": "/_pca/changepoints.h5", "index": "/moseq2-index.yaml"}
+#: Endings of model files.
+MODELS = (".p", ".pz", ".pkl", ".h5")
+
+
+def session_states(files: DataFrame, extensions: Sequence[str] = ("dat", "mkv", "avi")) -> DataFrame:
+    """One row per session folder of a listing (path): folder, recordings (depth ones), metadata, extracted, complete, flipped.
+
+    All states come from one pass over the listing: files are keyed by their session's folder, a proc folder's by the one above."""
+    base = basename(F.col("path"))
+    folder = F.regexp_replace(F.regexp_replace("path", "/[^/]*$", ""), "/proc$", "")
+    recorded = F.lit(False)
+    for e in extensions:
+        of_depth = F.contains(base, F.lit("depth")) if e in ("dat", "avi") else F.lit(True)
+        recorded = recorded | (F.endswith(base, F.lit(f".{e}")) & of_depth)
+    in_proc = F.col("path").rlike("/proc/[^/]*$")
+    d = files.select(folder.alias("folder"), (recorded & ~in_proc).alias("r"), (base == "metadata.json").alias("m"), (in_proc & (base == "results_00.h5")).alias("h"), (in_proc & (base == "results_00.yaml")).alias("y"), (in_proc & F.endswith(base, F.lit("_flipped.mp4"))).alias("f"))
+    states = d.groupBy("folder").agg(F.count_if("r").alias("recordings"), F.bool_or("m").alias("metadata"), F.bool_or("h").alias("extracted"), (F.bool_or("h") & F.bool_or("y")).alias("complete"), F.bool_or("f").alias("flipped"))
+    return states.where((F.col("recordings") > 0) | F.col("extracted"))
+
+
+def project_state(files: DataFrame, models: str = "/models/") -> DataFrame:
+    """One row for a listing (path): sessions, with_metadata, extracted, complete, flipped, models, and whether each of STEPS is
+    done; models are files under a folder of that name."""
+    steps = {k: F.coalesce(F.bool_or(F.endswith("path", F.lit(v))), F.lit(False)) for k, v in STEPS.items()}
+    ends = F.lit(False)
+    for e in MODELS:
+        ends = ends | F.endswith("path", F.lit(e))
+    whole = files.agg(*[c.alias(k) for k, c in steps.items()], F.count_if(F.contains("path", F.lit(models)) & ends).alias("models"), F.lit(0).alias("_k"))
+    n = lambda c: F.count_if(c).alias(c)
+    sums = session_states(files).agg(F.count("*").alias("sessions"), F.count_if("metadata").alias("with_metadata"), n("extracted"), n("complete"), n("flipped"), F.lit(0).alias("_k"))
+    return sums.join(whole, "_k").drop("_k")
+
+
 def unextracted(sessions: DataFrame, results: DataFrame, metadata: DataFrame) -> DataFrame:
     """Sessions with metadata (folder) and without complete results (folder, complete)."""
     done = results.where(F.coalesce("complete", F.lit(False))).select("folder").distinct()

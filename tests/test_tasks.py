@@ -100,6 +100,24 @@ def test_session_paths(spark):
     assert rows(sessions.resolved(names, a, b), "name") == [("s1", "/p/1.h5"), ("s2", "/a/2.h5")]
 
 
+def test_project_state(spark):
+    paths = ["/d/s1/depth.dat", "/d/s1/ir.dat", "/d/s1/metadata.json", "/d/s1/proc/results_00.h5", "/d/s1/proc/results_00.yaml", "/d/s2/depth.avi", "/d/s2/proc/results_00.h5", "/d/s3/x.mkv", "/d/s4/notes.txt", "/d/s5/proc/results_00.h5", "/d/s5/proc/results_00_flipped.mp4", "/d/_pca/pca.h5", "/d/models/m.p", "/d/models/m.txt"]
+    files = spark.createDataFrame([(p,) for p in paths], "path string")
+    got = {r["folder"]: tuple(r)[1:] for r in sessions.session_states(files).collect()}
+    assert got == {"/d/s1": (1, True, True, True, False), "/d/s2": (1, False, True, False, False), "/d/s3": (1, False, False, False, False), "/d/s5": (0, False, True, False, True)}
+    r = sessions.project_state(files).first()
+    assert (r["sessions"], r["with_metadata"], r["extracted"], r["complete"], r["flipped"], r["models"]) == (4, 1, 3, 1, 1, 1) and r["pca"] and not r["changepoints"]
+    assert sessions.project_state(files.limit(0)).first()["sessions"] == 0
+
+
+def test_where_results_are(spark):
+    paths = ["/p/a/depth.dat", "/p/a/proc/results_00.h5", "/q/b.h5", "/q/c.mp4", "/q/c.h5", "/q/d.mp4", "/q/e.h5"]
+    files = spark.createDataFrame([(p,) for p in paths], "path string")
+    own = [("a", "/p/a/depth.dat"), ("b", "/q/b.h5"), ("c", "/q/c.mp4"), ("d", "/q/d.mp4"), ("e", "/q/e.mp4"), ("a_flipped", "/p/a/depth.dat"), ("gone", "/q/gone.h5")]
+    got = rows(sessions.results_of(spark.createDataFrame(own, "name string, path string"), files), "name")
+    assert got == [("a", "/p/a/proc/results_00.h5"), ("b", "/q/b.h5"), ("c", "/q/c.h5")]
+
+
 def test_metadata_take_the_folder(spark):
     m = catalog.with_metadata_defaults({"StartTime": "now"}, "/data/mouse_7", "day1")
     assert (m["SubjectName"], m["SessionName"], m["StartTime"], m["NidaqChannels"]) == ("mouse_7", "day1", "now", 0)
