@@ -23,8 +23,11 @@ SHARD_BLOCKS, LINE_DOCS = 1_024, 2_000
 #: Levels of the splitting tree that one task grows; below, its nodes are dealt to tasks.
 TOP_LEVELS = 10
 SEED = 17
-#: Fixed value: a prime, for a permutation of a pass's blocks.
-STRIDE = 2_654_435_761
+#: The sixteen largest primes below 2^31, steps of permutations of a pass's blocks.
+PRIMES = (
+    2_147_483_647, 2_147_483_629, 2_147_483_587, 2_147_483_579, 2_147_483_563, 2_147_483_549, 2_147_483_543, 2_147_483_497,
+    2_147_483_489, 2_147_483_477, 2_147_483_423, 2_147_483_399, 2_147_483_353, 2_147_483_323, 2_147_483_269, 2_147_483_249,
+)
 
 
 def n_words(text: Column) -> Column:
@@ -161,9 +164,13 @@ def drawn_blocks(goals: DataFrame, seed: int = SEED) -> DataFrame:
     first = F.coalesce(F.sum("n").over(Window.partitionBy("_key").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     places = shares.withColumn("first", first).where("n > 0").select("_key", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("_place"))
     places = places.join(F.broadcast(table) if _few(goals) else table, "_key")
-    # each pass has a permutation of its own, of which the last place is the last block
-    stride = f"if(in_pass % {STRIDE} = 0, 1, {STRIDE})"
-    places = places.selectExpr("*", "_place div in_pass as pass").selectExpr("*", f"pmod(({stride}) * (_place % in_pass + 1) - 1, in_pass) as block")
+    # each pass of a source has a permutation of its own, drawn from the seed, of all blocks but the last, which may be short and
+    # has the last place: a prime above their number has no divisor with it, so its multiples meet every block once
+    h = lambda salt: F.xxhash64(F.lit(seed), F.lit(salt), "_key", "pass")
+    step = F.element_at(F.array(*[F.lit(x).cast("long") for x in PRIMES]), (F.pmod(h(0), F.lit(len(PRIMES))) + 1).cast("int"))
+    others, place = F.col("in_pass") - 1, F.col("_place") % F.col("in_pass")
+    moved = F.pmod(place * step + F.pmod(h(1), F.greatest(others, F.lit(1))), F.greatest(others, F.lit(1)))
+    places = places.selectExpr("*", "_place div in_pass as pass").withColumn("block", F.when(place == others, others).otherwise(moved))
     full = F.least(F.lit(BLOCK_WORDS), F.col("source_size") - F.col("block") * BLOCK_WORDS)
     return places.select("shard", "_key", F.col("pass").cast("int").alias("pass"), "block", (full - F.when(F.col("_place") == F.col("blocks") - 1, F.col("spare")).otherwise(0)).alias("_words"))
 

@@ -171,6 +171,27 @@ def test_shards_hold_what_the_tree_drew(docs, monkeypatch):
     assert all(r["text"] in whole[r["doc_id"]] for r in mixing.mixed(docs).collect())
 
 
+def test_blocks_are_permuted_by_the_seed(spark):
+    """240 full blocks and a short one, drawn one and a half times: each pass has an order of its own, another seed others."""
+    assert all(p % d for p in mixing.PRIMES for d in range(2, 46_341))
+    size = 240 * mixing.BLOCK_WORDS + 5
+    goals = spark.createDataFrame([("0a", size, 1.5 * size), ("0b", 3, 6.0), ("0c", mixing.BLOCK_WORDS, 1.0)], "_key string, source_size long, target double")
+
+    def order(seed):
+        rows = mixing.drawn_blocks(goals, seed).collect()
+        assert len({(r["_key"], r["pass"], r["block"]) for r in rows}) == len(rows)
+        assert sum(r["_words"] for r in rows if r["_key"] == "0a") == round(1.5 * size)
+        out = {}
+        for r in sorted(rows, key=lambda r: r["shard"]):
+            if r["_key"] == "0a":
+                out.setdefault(r["pass"], []).append(r["block"])
+        return out
+
+    one, two = order(1), order(2)
+    assert sorted(one[0]) == list(range(241)) and 119 <= len(one[1]) <= 122 and 240 not in one[1]
+    assert one == order(1) and set(one[1]) != set(two[1]) and set(one[1]) != set(range(len(one[1])))
+
+
 def test_split_tree_is_exact(spark):
     q = [1000, 3, 0, 77, 20_000]
     base = spark.createDataFrame([(list("abcde"), q)], "keys array<string>, q array<bigint>")
