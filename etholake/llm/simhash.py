@@ -431,16 +431,20 @@ def confirmed(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataF
     return both.select("a", "b", (shared >= F.lit(similarity) * (F.size("x") + F.size("y") - shared)).alias("alike"))
 
 
-def unsettled(nodes: DataFrame, judged: DataFrame) -> DataFrame:
-    """Those nodes, with root and settled, whose candidates connect several classes of confirmed links: only between these
-    classes can a link be missing."""
-    near = components(judged.select("a", "b")).withColumnRenamed("root", "_group")
-    sure = components(judged.where("alike").select("a", "b"))
-    member = near.join(sure, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def unsettled(nodes: DataFrame, judged: DataFrame, before: DataFrame | None = None, moved: bool = True) -> DataFrame:
+    """Those nodes, with _group, root and settled, whose candidates connect several classes of confirmed links: only between
+    these classes can a link be missing. before: the last round's answer; what it left out stays out, groups stay as they
+    were, and so do classes unless links between them were confirmed since (moved)."""
+    if before is not None and not moved:
+        member = before.select("node", "_group", "root")
+    else:
+        near = components(judged.select("a", "b")).withColumnRenamed("root", "_group") if before is None else before.select("node", "_group")
+        sure = components(judged.where("alike").select("a", "b"))
+        member = near.join(sure, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = member.groupBy("_group").agg((F.min("root") != F.max("root")).alias("_several")).where("_several")
     ends = judged.where(~F.col("alike"))
     others = ends.select(F.col("a").alias("node"), F.col("b").alias("_o")).union(ends.select("b", "a")).groupBy("node").agg(F.collect_set("_o").alias("settled"))
-    return nodes.join(member.join(several, "_group", "left_semi").select("node", "root"), "node").join(others, "node", "left")
+    return nodes.join(member.join(several, "_group", "left_semi").select("node", "_group", "root"), "node").join(others, "node", "left")
 
 
 def alike(sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -456,12 +460,15 @@ def alike(sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         return written(links(of, parts, SKETCH_RADIUS).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
 
     judged = written(confirmed(candidates(nodes), sketches, similarity), "judged")
+    open_, moved = None, True
     while not judged.where(~F.col("alike")).isEmpty():
-        open_ = written(unsettled(nodes, judged), "unsettled")
+        open_ = written(unsettled(nodes, judged, open_, moved), "unsettled")
         new = None if open_.isEmpty() else candidates(open_)
         if new is None or new.isEmpty():
             break
-        judged = written(judged.union(confirmed(new, sketches, similarity)), "judged")
+        fresh = written(confirmed(new, sketches, similarity), "judged")
+        moved = not fresh.where("alike").isEmpty()
+        judged = written(judged.union(fresh), "judged")
     return judged.where("alike").select("a", "b")
 
 
