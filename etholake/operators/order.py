@@ -50,11 +50,12 @@ def below(counts: DataFrame, by: Sequence[str], value: str, n: str) -> DataFrame
     return d.join(upper, [*keys, *_DIGITS]).withColumn("below", F.col("_at") + F.col("_in")).select(*counts.columns, "below")
 
 
-def percentiles(rows: DataFrame, by: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
+def percentiles(rows: DataFrame, by: Sequence[str], value: str, shares: Sequence[float], many_keys: bool = False) -> DataFrame:
     """by, share, value: exact percentiles, interpolated between neighbours, for every key; nulls are left out.
 
     The first pass counts cells (exponent and first digit); the second counts the numbers of the few cells that hold
-    the wanted places. Rows are never sorted, and what is joined back is two cells for each key and share."""
+    the wanted places. Rows are never sorted, and what is joined back is two cells for each key and share: broadcast, unless
+    there may be many keys."""
     keys = list(by)
     kept = rows.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(*keys, F.col(value).cast("double").alias("_v"))
     found = digits(F.col("_v"))
@@ -76,7 +77,7 @@ def percentiles(rows: DataFrame, by: Sequence[str], value: str, shares: Sequence
     hits = wanted.join(at, cond).select(*[wanted[k] for k in keys], "share", "end", "_all", "_place", "_o1", "_o2", "_from")
     # the cells that are wanted, once each, go back to the rows
     few = hits.select(*keys, "_o1", "_o2", "_from").distinct()
-    inside = cell.join(F.broadcast(few), [*keys, "_o1", "_o2"]).groupBy(*keys, "_o1", "_o2", "_from", "_v").agg(F.count("*").alias("_n"))
+    inside = cell.join(few if many_keys else F.broadcast(few), [*keys, "_o1", "_o2"]).groupBy(*keys, "_o1", "_o2", "_from", "_v").agg(F.count("*").alias("_n"))
     inside = inside.withColumn("_o3", found["_o3"])
     third = inside.groupBy(*keys, "_o1", "_o2", "_o3").agg(F.sum("_n").alias("_t"))
     third = third.withColumn("_mid", _before(third, [*keys, "_o1", "_o2"], "_o3", "_t")).drop("_t")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import images, text
 from ..operators import fingerprint as fp
-from ..operators import flips, hypothesis, quality, similarity
+from ..operators import arena, flips, hypothesis, quality, similarity
 from ..operators import frames as fr
 from ..operators import stats as st
 from ..operators import transitions as tr
@@ -593,6 +593,31 @@ def image_background_and_threshold(spark, sf):
     return d.withColumn("gap", F.col("gap") + F.lit(0.0))
 
 
+_ARENA = """e AS (SELECT label::BIGINT AS uuid, unnest(embedding)::DOUBLE AS v, unnest(range(64)) AS pixel FROM embeddings),
+g AS (SELECT uuid, pixel, median(v) AS z, (pixel % 8)::DOUBLE AS x, (pixel // 8)::DOUBLE AS y FROM e GROUP BY uuid, pixel),
+c AS (SELECT uuid, t, j, ((t * 3 + j + 1) * 2654435761) % 4294967296 * 64 // 4294967296 AS pixel FROM (SELECT DISTINCT uuid FROM g), range(100) AS r(t), range(3) AS s(j)),
+k AS (SELECT uuid, t, max(x) FILTER (j = 0) AS x0, max(y) FILTER (j = 0) AS y0, max(z) FILTER (j = 0) AS z0, max(x) FILTER (j = 1) - x0 AS x1, max(y) FILTER (j = 1) - y0 AS y1, max(z) FILTER (j = 1) - z0 AS z1,
+  max(x) FILTER (j = 2) - x0 AS x2, max(y) FILTER (j = 2) - y0 AS y2, max(z) FILTER (j = 2) - z0 AS z2 FROM c JOIN g USING (uuid, pixel) GROUP BY uuid, t),
+p AS (SELECT uuid, t, (z1 * y2 - z2 * y1) / (x1 * y2 - x2 * y1) AS a, (x1 * z2 - x2 * z1) / (x1 * y2 - x2 * y1) AS b, z0 - a * x0 - b * y0 AS d FROM k WHERE x1 * y2 <> x2 * y1),
+v AS (SELECT uuid, t, a, b, d, count(*) AS votes FROM g JOIN p USING (uuid) WHERE abs(z - (a * x + b * y + d)) <= 0.015 GROUP BY uuid, t, a, b, d QUALIFY row_number() OVER (PARTITION BY uuid ORDER BY votes DESC, t) = 1),
+q AS (SELECT uuid, any_value(votes) AS votes, covar_pop(x, x) AS xx, covar_pop(x, y) AS xy, covar_pop(y, y) AS yy, covar_pop(x, z) AS xz, covar_pop(y, z) AS yz, avg(x) AS mx, avg(y) AS my, avg(z) AS mz FROM g JOIN v USING (uuid) WHERE abs(z - (a * x + b * y + d)) <= 0.015 GROUP BY uuid),
+f AS (SELECT uuid, votes, (xz * yy - yz * xy) / (xx * yy - xy * xy) AS a, (yz * xx - xz * xy) / (xx * yy - xy * xy) AS b, mz - a * mx - b * my AS d FROM q)"""
+
+
+@query(f"WITH {_ARENA} SELECT uuid, votes, round(a, 6) AS a, round(b, 6) AS b, round(d, 6) AS d FROM f")
+def arena_floor(spark, sf):
+    return rounded(arena.floors(arena.background(_images(spark, sf)), 8, 0.015), "a", "b", "d")
+
+
+@query(f"WITH {_ARENA}, m AS (SELECT uuid, pixel, x, y, abs(z - (a * x + b * y + d)) <= 0.015 AS i FROM g JOIN f USING (uuid)), "
+       "w AS (SELECT m.uuid, m.pixel, m.x, m.y, bool_or(n.i) AS i FROM m JOIN m n ON m.uuid = n.uuid AND abs(m.x - n.x) + abs(m.y - n.y) <= 1 GROUP BY ALL) "
+       "SELECT w.uuid, w.pixel::INT AS pixel, bool_and(n.i) AS inside FROM w JOIN w n ON w.uuid = n.uuid AND n.x - w.x IN (-1, 0) AND n.y - w.y IN (-1, 0) GROUP BY ALL")
+def arena_mask(spark, sf):
+    background = arena.background(_images(spark, sf))
+    flat = arena.on_floor(background, 8, arena.floors(background, 8, 0.015), 0.015)
+    return arena.eroded(arena.dilated(flat, 8, arena.element("ellipse", (3, 3))), 8, arena.element("rect", (2, 2)))
+
+
 @query()
 def flip_classifier_accuracy(spark, sf):
     train, test = flips.split(flips.augmented(_images(spark, sf), 8), 20, "frame")
