@@ -41,8 +41,6 @@ SHARD_ROWS, LEAF_ROWS = 8_192, 128
 SAMPLE, LEAST_SAMPLE = 32_768, 16
 #: Pairs that a shard looks at in one step, and links that it holds before it thins them out to a spanning forest.
 STEP_PAIRS, MOST_LINKS = 1 << 21, 1 << 20
-#: Candidates of a node that one round of confirming takes from a block; the next round takes the next ones.
-NEAREST = 8
 #: Parts of a 64-bit fingerprint with a tree each.
 PARTS = 4
 #: Near-duplicates: words of a shingle, similarity of the sets of shingles, 64-bit words of the longer fingerprint, bits
@@ -269,27 +267,46 @@ class Links:
         return self.found[0]
 
 
-class Nearest(Links):
-    """Links between different classes that are not settled yet: of these, every node keeps its NEAREST nearest."""
+class Alike(Links):
+    """Links that are confirmed as they are found: pairs of different classes whose sets of shingles have the similarity. A link
+    makes its two classes one, so what is kept is a spanning forest of the classes that are alike.
 
-    def __init__(self, classes: np.ndarray, settled: np.ndarray) -> None:
+    sets are the nodes' shingles, one after the other, and bounds where each begins and ends."""
+
+    def __init__(self, classes: np.ndarray, sets: np.ndarray, bounds: np.ndarray, similarity: float) -> None:
         super().__init__(len(classes))
-        self.classes, self.settled = classes, settled
+        self.classes, self.bounds, self.similarity = classes.copy(), bounds, similarity
+        self.ids = np.unique(sets, return_inverse=True)[1]
+        self.marked = np.zeros(self.ids.max(initial=-1) + 1, dtype=bool)
+        self.sizes = np.diff(bounds)
 
     def add(self, a: np.ndarray, b: np.ndarray, dist: np.ndarray) -> None:
-        new = self.classes[a] != self.classes[b]
-        new &= ~np.isin(np.minimum(a, b) * self.n + np.maximum(a, b), self.settled)
-        super().add(a[new], b[new], dist[new])
-
-    def forest(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        none = np.zeros(0, dtype=np.int64)
-        a, b, dist = (np.concatenate(c) for c in zip(*self.found)) if self.found else (none, none, none)
-        ends = np.concatenate([a, b])
-        order = np.lexsort((np.tile(dist, 2), ends))
-        first = np.searchsorted(ends[order], ends[order])
-        i = np.unique(order[np.arange(len(order)) - first < NEAREST] % max(len(a), 1))
-        self.found, self.size = [(a[i], b[i], dist[i])], len(i)
-        return self.found[0]
+        order = np.argsort(a, kind="stable")
+        a, b, dist = a[order], b[order], dist[order]
+        starts = np.flatnonzero(np.diff(a, prepend=-1))
+        for start, stop in zip(starts.tolist(), np.append(starts[1:], len(a)).tolist()):
+            self._of_one(int(a[start]), b[start:stop], dist[start:stop])
+
+    def _of_one(self, node: int, others: np.ndarray, dist: np.ndarray) -> None:
+        size = self.sizes[node]
+        # sets of too different sizes cannot be alike
+        near = (self.classes[others] != self.classes[node]) & (np.minimum(self.sizes[others], size) >= self.similarity * np.maximum(self.sizes[others], size))
+        others, dist = others[near], dist[near]
+        if not len(others):
+            return
+        own = self.ids[self.bounds[node] : self.bounds[node + 1]]
+        self.marked[own] = True
+        sizes = self.sizes[others]
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1]) + np.repeat(self.bounds[others] - (ends - sizes), sizes)
+        upto = np.append(0, np.cumsum(self.marked[self.ids[at]]))
+        self.marked[own] = False
+        shared = upto[ends] - upto[ends - sizes]
+        for i in np.flatnonzero(shared >= self.similarity * (sizes + size - shared)).tolist():
+            old, new = self.classes[others[i]], self.classes[node]
+            if old != new:
+                self.classes[self.classes == old] = new
+                self.found.append((np.array([node]), others[i : i + 1], dist[i : i + 1]))
 
 
 def block_links(words: np.ndarray, role: np.ndarray, part: Part, radius: int, found: Links | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -326,14 +343,14 @@ def block_links(words: np.ndarray, role: np.ndarray, part: Part, radius: int, fo
     return found.forest()
 
 
-def links(nodes: DataFrame, parts: list[Part], radius: int) -> DataFrame:
+def links(nodes: DataFrame, parts: list[Part], radius: int, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b): links between nodes(node, w0, w1, ...), distinct fingerprints with a name. All that are near in a part and
     within radius are connected by what is returned.
 
-    With columns `root` (the class that a node is in) and `settled` (the nodes that it has been compared with), only links between
-    classes that are not settled count, and each node has its NEAREST nearest of them in every block."""
+    With columns `root` (the class that a node is in) and `shingles`, only links between classes count, and only those whose
+    sets of shingles have the similarity: they connect all such classes."""
     names = [c for c in nodes.columns if re.fullmatch(r"w\d+", c)]
-    more = [c for c in ("root", "settled") if c in nodes.columns]
+    more = [c for c in ("root", "shingles") if c in nodes.columns]
     kind = nodes.schema["node"].dataType.simpleString()
     total = nodes.count()
     one_in = total // SAMPLE + 1
@@ -365,17 +382,15 @@ def links(nodes: DataFrame, parts: list[Part], radius: int) -> DataFrame:
     def search(t: pa.Table) -> pa.Table:
         node, found = t.column("node"), None
         if more:
-            at, settled = {}, []
-            for i, name in enumerate(node.to_pylist()):
-                at.setdefault(name, []).append(i)
-            for i, names_ in enumerate(t.column("settled").to_pylist()):
-                settled += [min(i, j) * t.num_rows + max(i, j) for name in names_ or () for j in at.get(name, ())]
-            found = Nearest(np.unique(np.array(t.column("root").to_pylist()), return_inverse=True)[1], np.array(settled, dtype=np.int64))
+            sets = t.column("shingles").combine_chunks()
+            roots = np.unique(np.array(t.column("root").to_pylist()), return_inverse=True)[1]
+            bounds = sets.offsets.to_numpy().astype(np.int64)
+            found = Alike(roots, sets.values.to_numpy()[bounds[0] : bounds[-1]], bounds - bounds[0], similarity)
         a, b, _ = block_links(words_of(t), t.column("role").to_numpy(), parts[t.column("part")[0].as_py()], radius, found)
         return pa.table({"a": node.take(pa.array(a)), "b": node.take(pa.array(b))})
 
     fields = f"block int, part int, role int, node {kind}, {', '.join(f'{w} long' for w in names)}"
-    fields += f", root {kind}, settled array<{kind}>" if more else ""
+    fields += f", root {kind}, shingles array<int>" if more else ""
     sent = nodes.select("node", *names, *more).mapInArrow(send, fields)
     return sent.groupBy("block").applyInArrow(search, f"a {kind}, b {kind}")
 
@@ -431,20 +446,14 @@ def confirmed(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataF
     return both.select("a", "b", (shared >= F.lit(similarity) * (F.size("x") + F.size("y") - shared)).alias("alike"))
 
 
-def unsettled(nodes: DataFrame, judged: DataFrame, before: DataFrame | None = None, moved: bool = True) -> DataFrame:
-    """Those nodes, with _group, root and settled, whose candidates connect several classes of confirmed links: only between
-    these classes can a link be missing. before: the last round's answer; what it left out stays out, groups stay as they
-    were, and so do classes unless links between them were confirmed since (moved)."""
-    if before is not None and not moved:
-        member = before.select("node", "_group", "root")
-    else:
-        near = components(judged.select("a", "b")).withColumnRenamed("root", "_group") if before is None else before.select("node", "_group")
-        sure = components(judged.where("alike").select("a", "b"))
-        member = near.join(sure, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def unsettled(nodes: DataFrame, judged: DataFrame) -> DataFrame:
+    """Those nodes, with root, whose candidates connect several classes of confirmed links: only between these classes can
+    a link be missing."""
+    near = components(judged.select("a", "b")).withColumnRenamed("root", "_group")
+    sure = components(judged.where("alike").select("a", "b"))
+    member = near.join(sure, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = member.groupBy("_group").agg((F.min("root") != F.max("root")).alias("_several")).where("_several")
-    ends = judged.where(~F.col("alike"))
-    others = ends.select(F.col("a").alias("node"), F.col("b").alias("_o")).union(ends.select("b", "a")).groupBy("node").agg(F.collect_set("_o").alias("settled"))
-    return nodes.join(member.join(several, "_group", "left_semi").select("node", "_group", "root"), "node").join(others, "node", "left")
+    return nodes.join(member.join(several, "_group", "left_semi").select("node", "root"), "node")
 
 
 def alike(sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -452,24 +461,20 @@ def alike(sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     similarity; they connect all such pairs that are candidates (near in a part and within the radius).
 
     First a spanning forest of each block's candidates is confirmed. Where that fails for a link, the classes on its two sides
-    may still be alike by other candidates: these are searched, some for each node at a time, until none is left unjudged."""
+    may still be alike by other candidates: their nodes are searched again, now with their shingles, so that a block confirms
+    each candidate between two classes itself, however many there are, and only sends on what it confirmed."""
     words = [c for c in sketches.columns if re.fullmatch(r"w\d+", c)]
-    nodes, parts = sketches.select("node", *words).distinct(), short_parts(len(words))
-
-    def candidates(of: DataFrame) -> DataFrame:
-        return written(links(of, parts, SKETCH_RADIUS).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
-
-    judged = written(confirmed(candidates(nodes), sketches, similarity), "judged")
-    open_, moved = None, True
-    while not judged.where(~F.col("alike")).isEmpty():
-        open_ = written(unsettled(nodes, judged, open_, moved), "unsettled")
-        new = None if open_.isEmpty() else candidates(open_)
-        if new is None or new.isEmpty():
-            break
-        fresh = written(confirmed(new, sketches, similarity), "judged")
-        moved = not fresh.where("alike").isEmpty()
-        judged = written(judged.union(fresh), "judged")
-    return judged.where("alike").select("a", "b")
+    nodes, parts = sketches.groupBy("node").agg(*[F.first(w).alias(w) for w in words]), short_parts(len(words))
+    candidates = written(links(nodes, parts, SKETCH_RADIUS).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+    judged = written(confirmed(candidates, sketches, similarity), "judged")
+    sure = judged.where("alike").select("a", "b")
+    if judged.where(~F.col("alike")).isEmpty():
+        return sure
+    again = written(unsettled(nodes, judged), "unsettled")
+    sets = sketches.join(again.select("node"), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    again = written(again.join(sets, "node"), "unsettled-sets")
+    found = links(again, parts, SKETCH_RADIUS, similarity).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return sure.union(written(found.distinct(), "confirmed"))
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

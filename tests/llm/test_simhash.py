@@ -228,7 +228,6 @@ def test_many_candidates_that_are_not_alike(spark):
     want = {(3, 31), (7, 8), (8, 39), (12, 20)}
     for i, j in want:
         sets[j] = sets[i] | {10_000 + j}
-    assert 3 * simhash.NEAREST < 40
     got = {tuple(int(n[1:]) for n in r) for r in simhash.alike(_sketches(spark, prints, sets)).collect()}
     assert got <= want | {(7, 39)} and {frozenset(g) for g in got} >= {frozenset(w) for w in ((3, 31), (12, 20))}
     assert len(got & {(7, 8), (8, 39), (7, 39)}) >= 2
