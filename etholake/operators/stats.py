@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,25 +84,129 @@ def error_bars(stats: DataFrame, level: str, stat: str, kind: str = "SEM") -> Da
 POISSON = (0.367879, 0.735759, 0.919699, 0.981012, 0.996340, 0.999406, 0.999917, 0.999990)
 
 
+#: Units, resamples and groups that a task weighs at a time, and groups whose sums it keeps at most.
+UNITS_A_STEP, BOOTS_A_STEP, GROUPS_A_STEP, GROUPS_KEPT = 1024, 128, 64, 256
+_PRIME = 2_147_483_647
+
+
+def _mersenne(v: np.ndarray) -> np.ndarray:
+    """v modulo 2**31 - 1, in place; v under 2**63."""
+    for _ in range(2):
+        high = v >> 31
+        v &= _PRIME
+        v += high
+    v -= _PRIME * (v >= _PRIME)
+    return v
+
+
+def poisson_weights(units: np.ndarray, boots: np.ndarray) -> np.ndarray:
+    """The weight of each (mixed) unit in each resample: portable_mix of unit + resample * 104729, cut at POISSON."""
+    y = _mersenne(units.astype(np.int64)[:, None] + boots.astype(np.int64) * 104_729)
+    for more in (374_761_393, 0):
+        v = y + 12_345
+        v *= y
+        v += 1_013_904_223
+        y = _mersenne(v)
+        if more:
+            y += more
+            y = _mersenne(y)
+    y = y.astype(np.int32)
+    out = np.zeros(y.shape, dtype=np.int8)
+    for c in POISSON:
+        out += y > int(c * _PRIME)
+    return out.astype(np.float64)
+
+
+def _add_resamples(code: np.ndarray, x: np.ndarray, units: np.ndarray, sums: np.ndarray) -> None:
+    """Add to sums (group, 2, resample) the rows' weighted values and weights. A unit's weights serve all its rows."""
+    n_boots = sums.shape[2]
+    for first in range(0, len(sums), GROUPS_A_STEP):
+        here = np.flatnonzero((code >= first) & (code < first + GROUPS_A_STEP))
+        if not len(here):
+            continue
+        width = min(GROUPS_A_STEP, len(sums) - first)
+        distinct, of = np.unique(units[here], return_inverse=True)
+        for start in range(0, len(distinct), UNITS_A_STEP):
+            own = here[(of >= start) & (of < start + UNITS_A_STEP)]
+            place = of[(of >= start) & (of < start + UNITS_A_STEP)] - start
+            part = distinct[start : start + UNITS_A_STEP]
+            values = np.zeros((2, width, len(part)))
+            np.add.at(values[0], (code[own] - first, place), x[own])
+            np.add.at(values[1], (code[own] - first, place), 1.0)
+            for b in range(0, n_boots, BOOTS_A_STEP):
+                boots = np.arange(b, min(b + BOOTS_A_STEP, n_boots)) + 1
+                w = poisson_weights(part, boots)
+                for i in (0, 1):
+                    sums[first : first + width, i, b : b + len(boots)] += values[i] @ w
+
+
+def _weighted_sums(rows: DataFrame, keys: Sequence[str], n_boots: int) -> DataFrame:
+    """keys, _b, _wx, _w: for each task's part of a group and each resample, sums of the weighted values and of the weights."""
+    names = [*keys, "_b", "_wx", "_w"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes: dict[tuple, int] = {}
+        firsts: list[list[pa.Array]] = []
+        sums = np.zeros((0, 2, n_boots))
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            again = pa.array(np.zeros(n_boots, dtype=np.int64))
+            for first, (wx, w) in zip(firsts, sums):
+                yield pa.RecordBatch.from_arrays([*(k.take(again) for k in first), pa.array(np.arange(n_boots) + 1), pa.array(wx), pa.array(w)], names)
+
+        for t in batches:
+            own = list(zip(*(t.column(k).to_pylist() for k in keys))) or [()] * t.num_rows
+            x, units, start = t.column("_x").to_numpy(), t.column("_u").to_numpy(), 0
+            while start < len(own):
+                code = []
+                for i in range(start, len(own)):
+                    k = own[i]
+                    if k not in codes:
+                        if len(codes) == GROUPS_KEPT:
+                            break
+                        codes[k] = len(codes)
+                        firsts.append([t.column(c).slice(i, 1) for c in keys])
+                    code.append(codes[k])
+                here = slice(start, start + len(code))
+                sums = np.concatenate([sums, np.zeros((len(codes) - len(sums), 2, n_boots))])
+                _add_resamples(np.array(code), x[here], units[here], sums)
+                start += len(code)
+                if start < len(own):
+                    yield from sent()
+                    codes, firsts, sums = {}, [], sums[:0]
+        yield from sent()
+
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    return rows.select(*keys, "_x", "_u").mapInArrow(run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "_b long, _wx double, _w double"]))
+
+
 def merged_bootstrap(stats: DataFrame, by: Sequence[str], stat: str, n_boots: int = 10_000, percent: float = 5.0, seed: int = 0, unit: Column | None = None, function: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """by, mean, low, high: percentile interval over resamples whose rows have Poisson weights (Chamandy et al. 2012).
 
     A row's weight in a resample is a hash of its unit (a whole number; the hash of the row if none is given), the resample
     and the seed, so weights are the same wherever the row is. Resamples are sums over rows: each task adds up its own, and
-    only one row for each group and resample is shuffled. function(weight, value) gives the aggregate, the weighted mean by
-    default; null values are left out, and a group of only nulls has null bounds."""
+    only one row for each group, resample and task is shuffled. For the weighted mean, a unit's weights are worked out once
+    for all its rows, as arrays. function(weight, value) gives another aggregate; null values are left out, and a group of
+    only nulls has null bounds."""
     keys, x, w = list(by), F.col("_x"), F.col("_w")
+    spark = stats.sparkSession
     one = F.try_divide(F.sum(w * x), F.sum(w)) if function is None else function(w, x)
     rows = stats.select(*keys, F.col(stat).cast("double").alias("_x"), (F.xxhash64(*stats.columns) if unit is None else unit).cast("long").alias("_u"))
-    drawn = portable_mix(rows.where("_x IS NOT NULL"), F.pmod("_u", F.lit(2_147_483_647)) * 7919 + seed, "_u")
-    drawn = drawn.withColumn("_b", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(n_boots).cast("long"))))
-    drawn = portable_mix(drawn, F.col("_u") + F.col("_b") * 104_729, "_u")
-    weight = F.lit(0)
-    for c in POISSON:
-        weight = weight + (F.col("_u") > int(c * 2_147_483_647)).cast("int")
-    # no filter on the weight: pushed down, it would write the hash out many times over
-    drawn = drawn.withColumn("_w", weight)
-    resampled = drawn.groupBy(*keys, "_b").agg(one.alias("_m"))
+    drawn = portable_mix(rows.where("_x IS NOT NULL"), F.pmod("_u", F.lit(_PRIME)) * 7919 + seed, "_u")
+    if function is None:
+        # a few parts for each core, as each sends a row for every group and resample
+        parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+        summed = _weighted_sums(drawn.repartition(parts, "_u"), keys, n_boots)
+        resampled = summed.groupBy(*keys, "_b").agg(F.try_divide(F.sum("_wx"), F.sum("_w")).alias("_m"))
+    else:
+        drawn = drawn.withColumn("_b", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(n_boots).cast("long"))))
+        drawn = portable_mix(drawn, F.col("_u") + F.col("_b") * 104_729, "_u")
+        weight = F.lit(0)
+        for c in POISSON:
+            weight = weight + (F.col("_u") > int(c * _PRIME)).cast("int")
+        # no filter on the weight: pushed down, it would write the hash out many times over
+        drawn = drawn.withColumn("_w", weight)
+        resampled = drawn.groupBy(*keys, "_b").agg(one.alias("_m"))
     # the resamples of a group are as many as asked for, whatever its rows
     ends = resampled.groupBy(*keys).agg(F.percentile("_m", F.array(F.lit(percent / 200), F.lit(1 - percent / 200))).alias("_p"))
     whole = rows.withColumn("_w", F.when(x.isNotNull(), 1).otherwise(0)).groupBy(*keys).agg(one.alias("mean"))

@@ -100,6 +100,22 @@ def test_merged_bootstrap(spark):
     assert other["low"] != got["a"]["low"]
 
 
+def test_resamples_are_added_up_as_arrays(spark):
+    """No row for each value and resample; weights are portable_mix's; more groups than a task keeps lose nothing."""
+    rows = spark.createDataFrame([(u, g, u * 0.37 % 1) for u in range(30) for g in range(20)], "uuid long, grp long, x double")
+    plan = st.merged_bootstrap(rows, ["grp"], "x", 100, unit=F.col("uuid"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "MapInArrow" in plan
+    m = 2_147_483_647
+    once = lambda y: (y * y + 12_345 * y + 1_013_904_223) % m
+    want = [[sum(once((once((u + b * 104_729) % m) + 374_761_393) % m) > int(c * m) for c in st.POISSON) for b in (1, 2, 10_000)] for u in (0, 5, m - 1)]
+    assert st.poisson_weights(np.array([0, 5, m - 1]), np.array([1, 2, 10_000])).tolist() == want
+    d = spark.createDataFrame([(u, u % 600, float(u)) for u in range(1800)], "uuid long, grp long, x double").coalesce(1)
+    got = {r["grp"]: r for r in st.merged_bootstrap(d, ["grp"], "x", 40, unit=F.col("uuid")).collect()}
+    mixed = lambda f: {r["grp"]: r for r in st.merged_bootstrap(d, ["grp"], "x", 40, unit=F.col("uuid"), function=f).collect()}
+    same = mixed(lambda w, x: F.try_divide(F.sum(w * x), F.sum(w)))
+    assert len(got) == 600 and all((got[g]["low"], got[g]["high"]) == pytest.approx((same[g]["low"], same[g]["high"])) for g in same)
+
+
 @pytest.mark.parametrize("smoothing", [0.0, 1.0, 0.25])
 def test_entropy_of_smoothed_rows(spark, smoothing):
     rng = random.Random(3)
