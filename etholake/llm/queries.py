@@ -36,8 +36,7 @@ def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import quality
 
-    docs = load(spark, sf_dir, "documents")
-    return quality.judge(docs, quality.fit(docs, load(spark, sf_dir, "labels")))
+    return quality.judged(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -71,5 +72,23 @@ def test_isolation_forest_tells_outliers():
     assert near.mean() < 0.5 < far.min()
 
 
+def test_threshold_is_of_all_labelled_rows(spark, monkeypatch):
+    """The values at ranks are exact, and the threshold is that of all labelled rows, however many."""
+    rng = random.Random(4)
+    xs = [rng.choice([0.0, 1e9, rng.random() ** 9, -rng.random()]) for _ in range(3000)]
+    rows = spark.createDataFrame([(i % 2, x) for i, x in enumerate(xs)], "f int, v double")
+    assert quality._at_ranks(rows, {0: 700, 1: 1499}) == {0: sorted(xs[::2])[700], 1: sorted(xs[1::2])[1499]}
+    monkeypatch.setattr(quality, "TREES", 4)
+    monkeypatch.setattr(quality, "SUBSAMPLE", 8)
+    n = 7000
+    stats = spark.range(n).selectExpr("id doc_id", "100 + id % 50 n_words", "500 + id % 97 word_chars", "id % 3 n_symbols", "0L n_dup_lines", "0L n_repeat_words", "5 + id % 4 n_lines")
+    model = quality.fit_statistics(stats, spark.range(n).selectExpr("id doc_id", "int(id % 10 > 0) quality"))
+    got = [r for r in quality.judge_statistics(stats, model).collect() if r["doc_id"] % 10]
+    ok = sorted(r["anomaly"] for r in got)
+    floor = ok[min(len(ok) - 1, math.ceil(len(ok) * (1 - quality.MAX_FALSE)))]
+    bad = [r["anomaly"] for r in quality.judge_statistics(stats, model).collect() if r["doc_id"] % 10 == 0 and r["anomaly"] > floor]
+    assert model.threshold == ((floor + min(bad)) / 2 if bad else floor + 1e-9)
+
+
 def test_words_of_fixture():
     assert words(random.Random(1), 3, ["a"]) == "a a a"
