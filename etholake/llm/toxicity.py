@@ -12,6 +12,7 @@ the same length, so that plain windows compress alike under both.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections.abc import Iterator
@@ -201,19 +202,24 @@ def train(texts: list[str], labels: list[int]) -> ToxicityModel:
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int | None = 5) -> ToxicityModel:
     """Model from a bounded sample of labelled rows: at most MAX_TOXIC and MAX_ORDINARY, in the order of a hash of
-    the id. With a modulus, ids whose crc32 it divides are held out. Null ids and labels are no labels."""
+    the id. With a modulus, ids whose crc32 it divides are held out. Null ids and labels are no labels.
+
+    A task trains on the sample; the driver gets only the model, of fixed size, and no text."""
     known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_y")).where("_id is not null and _y in (0, 1)")
     if modulus:
         known = known.where(crc_mod(F.col("_id"), modulus) != 0)
     known = known.groupBy("_id").agg(F.max("_y").alias("_y"))
     part = lambda y, n: known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(n)
     chosen = part(1, MAX_TOXIC).union(part(0, MAX_ORDINARY))  # bounded by its limits, so it may be broadcast
-    rows = (
-        docs.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(chosen), "_id")
-        .where(F.length("text") < MAX_SAMPLE_CHARS).select("_id", "text", "_y").collect()
-    )
-    rows.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0], r[1]))
-    return train([r[1] for r in rows], [r[2] for r in rows])
+    rows = docs.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(chosen), "_id").where(F.length("text") < MAX_SAMPLE_CHARS)
+
+    def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = [r for b in batches for r in zip(b["_id"], b["text"], b["_y"])]
+        own.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0], r[1]))
+        yield pd.DataFrame({"model": [pickle.dumps(train([r[1] for r in own], [r[2] for r in own]))]})
+
+    found = rows.select("_id", "text", "_y").repartition(1).mapInPandas(one, "model binary").first()
+    return pickle.loads(found["model"]) if found else train([], [])
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:

@@ -61,3 +61,17 @@ def test_without_labels(spark, docs, labels):
         model = toxicity.fit(docs, some)
         assert {r["score"] for r in toxicity.score(docs, model).collect()} == {0.0}
     assert np.array_equal(model.score([None, ""]), [0.0, 0.0])
+
+
+def test_driver_trains_nothing(spark, monkeypatch):
+    """A task trains: the driver gets the model and no texts."""
+    docs, labels, _ = _labelled(spark)
+
+    def here(*_):
+        raise AssertionError("trained in the driver")
+
+    monkeypatch.setattr(toxicity.ToxicityModel, "calibrate", here)
+    model = toxicity.fit(docs, labels)
+    monkeypatch.undo()
+    rows = [(r["text"], r["toxic"]) for r in docs.join(labels.where("doc_id is not null and toxic is not null"), "doc_id").collect()]
+    assert model.calibration is not None and model.score([rows[1][0]])[0] != 0.5
