@@ -3,8 +3,9 @@
 Texts are of several kinds, such as languages: clusters of the pairs of bytes that occur in them. A text's kind is stated
 first, at equal cost for all. A byte is eight binary decisions, and four predictors, of hashed contexts (the last two and
 three bytes with the kind, the last four, and the word so far with the kind), each give a probability for every decision from counts over the training corpus. A mixer adds up their
-logits with weights that a gate selects by the bit's place and by how well the two longest contexts are known; the
-weights are learned online, bit after bit, on documents that the counts do not have yet; then these are counted too.
+logits with weights that a gate selects by the bit's place and by how well the two longest contexts are known. All training
+documents teach it: each group of them learns weights online, bit after bit, against counts that leave out its fold, a
+fourth of the groups, and the weights are averaged by how often each gate was open. Texts are then scored by all counts.
 
 Two such weight sets and a memory of words are mixed again. The memory has how often each word, with its case and what ends
 it, occurs in the training corpus: it grows with the corpus, and no machine holds it all. Scoring refines adaptively: after
@@ -23,8 +24,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard as zstd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,13 +50,13 @@ START, END = b"\n" * 4, b"\xff"
 END_TOKEN, EMPTY = 0x6E64, np.uint64(0x2545F4914F6CDD1D)
 #: Words of a block, and the shares that the experts (weight sets, memory of words) begin a text with, as so many words.
 BLOCK, PRIOR, PRIOR_WORDS = 32, (0.74, 0.25, 0.01), 12.0
-#: Training documents that the mixer and the kinds are learned on: about so many, and one in so many at most.
-MAX_TUNE, MIN_MODULUS, MAX_TUNE_CHARS = 400, 8, 20_000
-#: Step size and bytes of a step of the mixer's learning.
-RATE, BATCH = 0.03, 512
+#: Groups are dealt into so many folds: the mixer learns on a fold's texts with the counts of the others.
+FOLDS = 4
+#: Step size of the mixer's learning; a step has a distinct context for so many bytes of the group, and so many at least and most.
+RATE, BYTES_A_CONTEXT, BATCH = 0.08, 1024, (256, 8192)
 #: Text that one group of documents should hold, that is prepared at a time, and bytes that are scored at a time.
-GROUP_BYTES, CHUNK_BYTES, STEP = 8 << 20, 1 << 20, 8192
-#: Groups whose words one bucket adds up, by their number; groups whose slots are added up together.
+GROUP_BYTES, CHUNK_BYTES, STEP = 16 << 20, 2 << 20, 8192
+#: Groups whose words one bucket adds up, by their number; groups whose slots, or whose kinds, are brought together.
 GROUPS_A_BUCKET, FAN_IN = 8, 32
 _SIZES = [1 << b for b in TABLE_BITS]
 _BASE = np.concatenate([[0], np.cumsum(_SIZES)]).astype(np.int64)
@@ -63,8 +66,8 @@ PSEUDO = 0.15
 #: A cell: the slot's logit in quarters (-32 to 31), and in the low two bits how well it is known.
 _LOGIT = ((np.arange(256) >> 2) - 32).astype(np.float32) / 4
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
-#: Kinds of rows. Words are lower-cased tokens or units (with case and what ends them); tuning documents' slots are apart.
-TOKENS, SLOTS, ANSWERS, UNITS, UNIT_ANSWERS, TUNED = range(6)
+#: Kinds of rows. Words are lower-cased tokens or units (with case and what ends them).
+TOKENS, SLOTS, ANSWERS, UNITS, UNIT_ANSWERS = range(5)
 #: A unit is known by 40 bits of its hash.
 UNIT_SHIFT = 24
 
@@ -113,19 +116,27 @@ def kinds_of(texts: list[bytes], centres: np.ndarray) -> np.ndarray:
     return (profiles(texts) @ centres.T).argmax(1) if len(texts) else np.zeros(0, dtype=np.int64)
 
 
-def cluster(texts: list[bytes], rounds: int = 12) -> np.ndarray:
-    """Centres of KINDS clusters of a bounded sample of texts: each begins far from those before it."""
-    x = profiles(texts) if texts else np.zeros((1, PROFILE), dtype=np.float32)
-    centres = x[:1]
+def _cluster(x: np.ndarray, weight: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Centres of KINDS clusters of weighted profiles, drawn apart from each other at first, and the weight of each."""
+    rng = np.random.default_rng(0)
+    centres, near = x[:1], x @ x[0]
     while len(centres) < KINDS:
-        centres = np.vstack([centres, x[(x @ centres.T).max(1).argmin()]])
+        far = np.cumsum(weight * np.maximum(1 - near, 0), dtype=np.float64)
+        centres = np.vstack([centres, x[min(int(np.searchsorted(far, rng.random() * far[-1], side="right")), len(x) - 1)]])
+        near = np.maximum(near, x @ centres[-1])
     for _ in range(rounds):
         of = (x @ centres.T).argmax(1)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, of, x)
+        belongs = (of == np.arange(KINDS)[:, None]) * weight.astype(np.float32)
+        sums = belongs @ x
         size = np.linalg.norm(sums, axis=1, keepdims=True)
         centres = np.where(size > 0, sums / np.maximum(size, 1e-6), centres)
-    return centres
+    return centres, np.bincount((x @ centres.T).argmax(1), weight, KINDS)
+
+
+def cluster(texts: list[bytes], rounds: int = 12) -> np.ndarray:
+    """Centres of KINDS clusters of texts."""
+    x = profiles(texts) if texts else np.zeros((1, PROFILE), dtype=np.float32)
+    return _cluster(x, np.ones(len(x)), rounds)[0]
 
 
 class Prepared:
@@ -215,43 +226,27 @@ def _decisions(byte: np.ndarray) -> Iterator[tuple[np.ndarray | int, np.ndarray,
 
 
 class Tally:
-    """Counts of (context, byte) for one order of contexts, gathered in chunks."""
+    """Zeros and ones of the slots of one order of contexts."""
 
     def __init__(self, order: int) -> None:
-        self.order, self.parts, self.size, self.most = order, [], 0, 1 << 20
+        self.order, self.sums = order, np.zeros(2 * _SIZES[order], dtype=np.int32)
 
     def add(self, context: np.ndarray, byte: np.ndarray, count: np.ndarray) -> None:
-        self.parts.append(self._distinct(context, byte, count))
-        self.size += len(self.parts[-1][0])
-        if len(self.parts) > 1 and self.size > self.most:
-            self._merge()
-
-    def _distinct(self, context: np.ndarray, byte: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
-        codes, values = pd.factorize(context + byte.astype(np.uint64) * _ODD[0])
-        at = np.empty(len(values), dtype=np.int64)
-        at[codes] = np.arange(len(codes))
-        return context[at], byte[at], np.bincount(codes, count, len(at)).astype(np.int64)
-
-    def _merge(self) -> None:
-        self.parts = [self._distinct(*(np.concatenate(c) for c in zip(*self.parts)))]
-        self.size = len(self.parts[0][0])
-        self.most = max(1 << 20, self.size * 3 // 2)
+        if self.order < ORDERS - 1:
+            codes, values = pd.factorize(context + byte.astype(np.uint64) * _ODD[0])
+            at = np.empty(len(values), dtype=np.int64)
+            at[codes] = np.arange(len(codes))
+            context, byte, count = context[at], byte[at], np.bincount(codes, count, len(at))
+        few, last, line = count.astype(np.int32), None, None
+        for half, node, bit in _decisions(byte.astype(np.int64)):
+            if half is not last:
+                last, line = half, 2 * _line(context, self.order, half)
+            np.add.at(self.sums, line + (2 * node + bit), few)
 
     def slots(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(slot over all tables, zeros, ones), by slot."""
-        if not self.parts:
-            return (np.zeros(0, dtype=np.int64),) * 3
-        self._merge()
-        context, byte, count = self.parts[0]
-        few = count.astype(np.int32)
-        sums = np.zeros(2 * _SIZES[self.order], dtype=np.int32)
-        last, line = None, None
-        for half, node, bit in _decisions(byte.astype(np.int64)):
-            if half is not last:
-                last, line = half, _line(context, self.order, half)
-            np.add.at(sums, 2 * (line + node) + bit, few)
-        at = np.flatnonzero(sums[::2] | sums[1::2])
-        return at + _BASE[self.order], sums[2 * at], sums[2 * at + 1]
+        at = np.flatnonzero(self.sums.view(np.int64))
+        return at + _BASE[self.order], self.sums[2 * at], self.sums[2 * at + 1]
 
 
 class MixingModel:
@@ -269,54 +264,81 @@ class MixingModel:
         for x, w in zip(self.SETS, self.weights):
             w[:-1] = 1.2 / len(x)
 
-    def _inputs(self, contexts: list[np.ndarray], byte: np.ndarray) -> Iterator[tuple[np.ndarray, list[np.ndarray], np.ndarray]]:
-        """(bit, logits by order, gate) of the bytes' eight decisions."""
+    def _inputs(self, contexts: list[np.ndarray], byte: np.ndarray) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+        """(bit, gate and cell by order, in one number) of the bytes' eight decisions."""
         last, lines = None, []
         for half, node, bit in _decisions(byte):
             if half is not last:
                 last, lines = half, [_line(c, k, half) + _BASE[k] for k, c in enumerate(contexts)]
-            cells = [self.cells[x + node] for x in lines]
-            yield bit, [_LOGIT[c] for c in cells], (cells[3] & 3) << 2 | cells[2] & 3
-
-    def learn(self, texts: list[bytes], rate: float = RATE, batch: int = BATCH) -> None:
-        """One online pass: after each batch of bytes the weights of the gates seen follow the error (AdaGrad)."""
-        if not texts:
-            return
-        given = Prepared(texts, self.centres)
+            cells = [self.cells.take(x + node) for x in lines]
+            gate = ((cells[3] & 3) << 2 | cells[2] & 3).astype(np.int64) << 8
+            yield bit, [gate | c for c in cells]
+
+    def _parts(self, j: int) -> list[np.ndarray]:
+        """What each order adds to the logits at a bit's place, by gate and cell: for both sets (real, imaginary), or for the first
+        alone. The bias goes with the first order."""
+        w, v = (x[:, j, :, None] for x in self.weights)
+        both = [w[k] * _LOGIT + 1j * (v[k] * _LOGIT) for k in self.SETS[1]]
+        both[0] = both[0] + (w[-1] + 1j * v[-1])
+        return [*(x.astype(np.complex64).ravel() for x in both), *((w[k] * _LOGIT).ravel() for k in self.SETS[0][len(both) :])]
+
+    @staticmethod
+    def _logits(parts: list[np.ndarray], at: list[np.ndarray]) -> np.ndarray:
+        """A row for each decision, a column for each set."""
+        z = parts[0].take(at[0])
+        z += parts[1].take(at[1])
+        z = z.view(np.float32).reshape(-1, 2)
+        z[:, 0] += parts[2].take(at[2]) + parts[3].take(at[3])
+        return z
+
+    def learn(self, texts: list[bytes], rate: float = RATE, batch: int | None = None) -> np.ndarray:
+        """One online pass over the distinct contexts of each chunk: after each batch of them the weights of the gates seen follow
+        the error (AdaGrad). Returns how many decisions each gate had at each place."""
+        seen = np.zeros((8, 16))
+        batch = batch or int(np.clip(sum(map(len, texts)) // BYTES_A_CONTEXT, *BATCH))
         squares = [np.full_like(w, 1e-2) for w in self.weights]
-        for start in range(0, len(given.keys), batch):
-            keys = given.keys[start : start + batch]
-            contexts = _contexts(keys, given.prefixes[start : start + batch])
-            for j, (bit, logits, gate) in enumerate(self._inputs(contexts, _last_bytes(keys).astype(np.int64))):
-                seen = np.maximum(np.bincount(gate, minlength=16), 1)
-                for orders, weights, square in zip(self.SETS, self.weights, squares):
-                    x = [*(logits[k] for k in orders), np.ones(len(bit), dtype=np.float32)]
-                    z = sum(a * weights[i, j][gate] for i, a in enumerate(x))
-                    err = bit - 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-                    for i, a in enumerate(x):
-                        step = np.bincount(gate, err * a, 16) / seen
-                        square[i, j] += step**2
-                        weights[i, j] += rate * step / np.sqrt(square[i, j])
+        for _, part in _byte_chunks(texts):
+            given = Prepared(part, self.centres)
+            codes, place = given.distinct()
+            # mixed, as frequent contexts are met first
+            mixed = np.random.default_rng(0).permutation(len(place))
+            many, place = np.bincount(codes, minlength=len(place)).astype(float)[mixed], place[mixed]
+            keys, prefixes = given.keys[place], given.prefixes[place]
+            for start in range(0, len(keys), batch):
+                some, times = keys[start : start + batch], many[start : start + batch]
+                contexts = _contexts(some, prefixes[start : start + batch])
+                for j, (bit, at) in enumerate(self._inputs(contexts, _last_bytes(some).astype(np.int64))):
+                    z = self._logits(self._parts(j), at)
+                    np.clip(z, -30, 30, out=z)
+                    np.exp(np.negative(z, out=z), out=z)
+                    z += 1
+                    errors = [(bit - 1 / x) * times for x in z.T]
+                    here = np.bincount(at[0] >> 8, times, 16)
+                    seen[j] += here
+                    for orders, weights, square, err in zip(self.SETS, self.weights, squares, errors):
+                        sums = [np.bincount(at[k], err, 4096).reshape(16, 256) for k in orders]
+                        step = np.array([*(x @ _LOGIT for x in sums), sums[0].sum(1)]) / np.maximum(here, 1)
+                        square[:, j] += step**2
+                        weights[:, j] += rate * step / np.sqrt(square[:, j])
+        return seen
 
     def costs(self, keys: np.ndarray, prefixes: np.ndarray) -> np.ndarray:
         """Natural log probabilities of the keys' last bytes, a row for each weight set."""
         out = np.zeros((len(self.SETS), len(keys)), dtype=np.float32)
+        parts = [self._parts(j) for j in range(8)]
         for start in range(0, len(keys), STEP):
-            part = keys[start : start + STEP]
-            contexts = _contexts(part, prefixes[start : start + STEP])
+            some = keys[start : start + STEP]
+            contexts = _contexts(some, prefixes[start : start + STEP])
             # the inverse probabilities of eight decisions, multiplied: at most (1 + e**10) ** 8
-            product = np.ones((len(self.SETS), len(part)), dtype=np.float32)
-            for j, (bit, logits, gate) in enumerate(self._inputs(contexts, _last_bytes(part).astype(np.int64))):
-                sign = (1 - 2 * bit).astype(np.float32)
-                for g, orders in enumerate(self.SETS):
-                    w = self.weights[g]
-                    z = w[-1, j].take(gate)
-                    for i, k in enumerate(orders):
-                        z += logits[k] * w[i, j].take(gate)
-                    z *= sign
-                    np.minimum(z, 10, out=z)
-                    product[g] *= 1 + np.exp(np.maximum(z, -10, out=z))
-            out[:, start : start + STEP] = -np.log(product)
+            product = np.ones((len(some), len(self.SETS)), dtype=np.float32)
+            for j, (bit, at) in enumerate(self._inputs(contexts, _last_bytes(some).astype(np.int64))):
+                z = self._logits(parts[j], at)
+                z *= (1 - 2 * bit).astype(np.float32)[:, None]
+                np.clip(z, -10, 10, out=z)
+                np.exp(z, out=z)
+                z += 1
+                product *= z
+            out[:, start : start + STEP] = -np.log(product).T
         return out
 
     def score(self, given: Prepared, counts: np.ndarray, n_units: int) -> np.ndarray:
@@ -390,13 +412,62 @@ def _added_slots(blobs: list[bytes]) -> np.ndarray:
     return sums
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """docs (doc_id long, text, held_out, _part), each text compressed by itself, as it lies on disk for several passes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstd.ZstdCompressor(level=3)
+        for b in batches:
+            texts = pa.array([press.compress(x or b"") for x in b.column("text").cast(pa.binary()).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), texts, b.column("held_out"), b.column("_part")], ["doc_id", "text", "held_out", "_part"])
+
+    return docs.select("doc_id", "text", "held_out", "_part").mapInArrow(run, "doc_id long, text binary, held_out boolean, _part int")
+
+
+def _texts(t: pa.Table) -> list[bytes]:
+    release = zstd.ZstdDecompressor()
+    return [release.decompress(x) for x in t.column("text").to_pylist()]
+
+
+def _training(t: pa.Table) -> list[bytes]:
+    """A group's training texts, in an order that does not depend on how they came."""
+    return sorted(_texts(t.filter(pc.invert(t.column("held_out")))))
+
+
+def kinds(dealt: DataFrame, n: int) -> np.ndarray:
+    """Centres of the kinds of all training texts of dealt (as packed() gives them): clusters of the profiles of some thousands,
+    whose centres, with their weights, are clustered again, group by group, until one set is left."""
+    out = "key int, payload binary, weights binary"
+
+    def row(key: int, x: np.ndarray, weight: np.ndarray) -> pa.Table:
+        centres, weight = _cluster(x, weight, 12)
+        return pa.table({"key": pa.array([key], pa.int32()), "payload": [centres.astype("<f4").tobytes()], "weights": [weight.astype("<f8").tobytes()]})
+
+    def local(t: pa.Table) -> pa.Table:
+        texts = _training(t)
+        some = [_cluster(profiles(texts[i : i + 4096]), np.ones(len(texts[i : i + 4096])), 12) for i in range(0, len(texts), 4096)]
+        none = (np.zeros((1, PROFILE), dtype=np.float32), np.zeros(1))
+        return row(t.column("_part")[0].as_py(), *(np.concatenate(x) for x in zip(*(some or [none]))))
+
+    def together(t: pa.Table) -> pa.Table:
+        t = t.sort_by("key")
+        x, weight = (np.frombuffer(b"".join(t.column(c).to_pylist()), dtype=k) for c, k in (("payload", "<f4"), ("weights", "<f8")))
+        x, real = x.reshape(-1, PROFILE), weight > 0
+        return row(t.column("key")[0].as_py() // FAN_IN, *((x[real], weight[real]) if real.any() else (x[:1], weight[:1])))
+
+    found = dealt.select("text", "held_out", "_part").groupBy("_part").applyInArrow(local, out)
+    while n > 1:
+        found, n = found.groupBy(F.floor(F.col("key") / FAN_IN).cast("int")).applyInArrow(together, out), -(-n // FAN_IN)
+    r = found.first()
+    return np.frombuffer(r["payload"], dtype="<f4").reshape(KINDS, PROFILE) if r else cluster([])
+
+
 def count(dealt: DataFrame, n: int, buckets: int, centres: np.ndarray) -> DataFrame:
-    """Counts over dealt (text, held_out, _tune, _part): rows of ANSWERS and UNIT_ANSWERS (key: the group that asked; its
-    words and their counts in training texts), of TOKENS and UNITS (totals), and of SLOTS and TUNED (key: the slice of the
-    tables; of training documents but those for tuning, and of these), packed."""
-    fans = -(-n // FAN_IN)
+    """Counts over dealt (as packed() gives it): rows of ANSWERS and UNIT_ANSWERS (key: the group that asked; its words and
+    their counts in training texts), of TOKENS and UNITS (totals), and of SLOTS (key: the slice of the tables; distinct: the
+    fold), packed."""
+    fans = -(-n // (FAN_IN * FOLDS))
     slots_from = 2 * buckets
-    tuned_from = slots_from + SLICES * fans
 
     def words_of(parts: list[tuple[np.ndarray, np.ndarray]], kind: int, first: int, me: int) -> list[tuple]:
         hashes, c = _summed(*(np.concatenate(x) for x in zip(*parts)))
@@ -405,9 +476,9 @@ def count(dealt: DataFrame, n: int, buckets: int, centres: np.ndarray) -> DataFr
 
     def run(t: pa.Table) -> pa.Table:
         me = t.column("_part")[0].as_py()
-        texts = [x or b"" for x in t.column("text").cast(pa.binary()).to_pylist()]
-        held, tune = (np.array(t.column(c).to_pylist(), dtype=bool) for c in ("held_out", "_tune"))
-        tokens, units, tallies, tuned = [], [], [Tally(k) for k in range(ORDERS)], [Tally(k) for k in range(ORDERS)]
+        texts = _texts(t)
+        held = np.array(t.column("held_out").to_pylist(), dtype=bool)
+        tokens, units, tallies = [], [], [Tally(k) for k in range(ORDERS)]
         for first, part in _byte_chunks(texts):
             given = Prepared(part, centres)
             here = slice(first, first + len(part))
@@ -418,29 +489,27 @@ def count(dealt: DataFrame, n: int, buckets: int, centres: np.ndarray) -> DataFr
             codes, distinct = pd.factorize(given.words)
             learned = np.repeat(~held[here], np.diff(given.token_bounds) - 1)
             units.append((distinct, np.bincount(codes, learned, len(distinct)).astype(np.int64)))
-            for some, to in ((~(held[here] | tune[here]), tallies), (tune[here] & ~held[here], tuned)):
-                if some.any():
-                    codes, place = given.distinct(np.flatnonzero(np.repeat(some, np.diff(given.bounds))))
-                    many, keys = np.bincount(codes, minlength=len(place)), given.keys[place]
-                    for k, context in enumerate(_contexts(keys, given.prefixes[place])):
-                        to[k].add(context, _last_bytes(keys), many)
+            if not held[here].all():
+                codes, place = given.distinct(np.flatnonzero(np.repeat(~held[here], np.diff(given.bounds))))
+                many, keys = np.bincount(codes, minlength=len(place)), given.keys[place]
+                for tally, context in zip(tallies, _contexts(keys, given.prefixes[place])):
+                    tally.add(context, _last_bytes(keys), many)
         rows = words_of(tokens, TOKENS, 0, me) + words_of(units, UNITS, buckets, me)
-        for some, kind in ((tuned, TUNED), (tallies, SLOTS)):
-            while some:
-                slots, zeros, ones = some.pop().slots()
-                edges = np.searchsorted(slots, np.arange(SLICES + 1) * _WIDE)
-                for s in np.flatnonzero(np.diff(edges)).tolist():
-                    i = slice(edges[s], edges[s + 1])
-                    key = tuned_from + s if kind == TUNED else slots_from + s * fans + me % fans
-                    rows.append((key, kind, _dumped_slots(slots[i] - s * _WIDE, zeros[i], ones[i]), s, 0))
+        fold, fan = me % FOLDS, me // FOLDS % fans
+        while tallies:
+            slots, zeros, ones = tallies.pop().slots()
+            edges = np.searchsorted(slots, np.arange(SLICES + 1) * _WIDE)
+            for s in np.flatnonzero(np.diff(edges)).tolist():
+                i = slice(edges[s], edges[s + 1])
+                rows.append((slots_from + (s * FOLDS + fold) * fans + fan, SLOTS, _dumped_slots(slots[i] - s * _WIDE, zeros[i], ones[i]), s, fold))
         return _table(rows)
 
     def merge(t: pa.Table) -> pa.Table:
         blobs, kind = t.column("payload").to_pylist(), t.column("kind")[0].as_py()
-        if kind in (SLOTS, TUNED):
+        if kind == SLOTS:
             sums = _added_slots(blobs)
             at = np.flatnonzero(sums.any(0))
-            return _table([(t.column("total")[0].as_py(), kind, _dumped_slots(at, sums[0, at], sums[1, at]), 0, 0)])
+            return _table([(t.column("total")[0].as_py(), kind, _dumped_slots(at, sums[0, at], sums[1, at]), 0, t.column("distinct")[0].as_py())])
         hashes, counts = _summed(*_load_counts(blobs))
         rows = [(t.column("key")[0].as_py(), kind, b"", int(counts.sum()), int((counts > 0).sum()))]
         for asked, blob in zip(t.column("total").to_pylist(), blobs):
@@ -449,26 +518,49 @@ def count(dealt: DataFrame, n: int, buckets: int, centres: np.ndarray) -> DataFr
             rows.append((asked, ANSWERS if kind == TOKENS else UNIT_ANSWERS, _dump_counts(k[c > 0], c[c > 0]), 0, 0))
         return _table(rows)
 
-    return dealt.select("text", "held_out", "_tune", "_part").groupBy("_part").applyInArrow(run, ROWS).groupBy("key").applyInArrow(merge, ROWS)
+    return dealt.select("text", "held_out", "_part").groupBy("_part").applyInArrow(run, ROWS).groupBy("key").applyInArrow(merge, ROWS)
 
 
-def build(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The tables' cells, without and with the tuning documents; SLICES rows of fixed size in all."""
+def build(counts: DataFrame) -> np.ndarray:
+    """The tables' cells, a row without each fold and a last one with all; SLICES rows of fixed size in all."""
 
     def dense(t: pa.Table) -> pa.Table:
-        blobs, kinds = t.column("payload").to_pylist(), t.column("kind").to_pylist()
-        sums, out = np.zeros((2, _WIDE), dtype=np.int64), b""
-        for kind in (SLOTS, TUNED):
-            sums += _added_slots([b for b, k in zip(blobs, kinds) if k == kind])
+        blobs, folds = t.column("payload").to_pylist(), t.column("distinct").to_pylist()
+        by_fold = np.array([_added_slots([b for b, x in zip(blobs, folds) if x == k]) for k in range(FOLDS)])
+        out, whole = b"", by_fold.sum(0)
+        for sums in (*(whole - x for x in by_fold), whole):
             logit = np.clip(np.rint(4 * np.log((sums[1] + PSEUDO) / (sums[0] + PSEUDO))), -32, 31).astype(np.int64)
             out += ((logit + 32) << 2 | np.digitize(sums[0] + sums[1], [1, 3, 20])).astype(np.uint8).tobytes()
         return _table([(t.column("key")[0].as_py(), SLOTS, out, 0, 0)])
 
     # a slot without counts: a logit of zero, not known
-    cells = np.full((2, _WIDE * SLICES), 32 << 2, dtype=np.uint8)
-    for r in counts.where(F.col("kind").isin(SLOTS, TUNED)).groupBy("key").applyInArrow(dense, ROWS).toLocalIterator():
-        cells[:, r["key"] * _WIDE : (r["key"] + 1) * _WIDE] = np.frombuffer(r["payload"], dtype=np.uint8).reshape(2, -1)
-    return cells[0], cells[1]
+    cells = np.full((FOLDS + 1, _WIDE * SLICES), 32 << 2, dtype=np.uint8)
+    for r in counts.where(F.col("kind") == SLOTS).groupBy("key").applyInArrow(dense, ROWS).toLocalIterator():
+        cells[:, r["key"] * _WIDE : (r["key"] + 1) * _WIDE] = np.frombuffer(r["payload"], dtype=np.uint8).reshape(FOLDS + 1, -1)
+    return cells
+
+
+def learned(dealt: DataFrame, cells: np.ndarray, centres: np.ndarray) -> MixingModel:
+    """The model with the cells of all training texts, its weights learned on all of them: each group's online, with the cells
+    that leave its fold out, then averaged by how many decisions each gate had."""
+    shared = [dealt.sparkSession.sparkContext.broadcast(x) for x in cells[:FOLDS]]
+
+    def run(t: pa.Table) -> pa.Table:
+        model = MixingModel(shared[t.column("_part")[0].as_py() % FOLDS].value, centres)
+        seen = model.learn(_training(t))
+        sums = np.concatenate([(w * seen).ravel() for w in model.weights] + [seen.ravel()])
+        return pa.table({"place": pa.array(range(len(sums)), pa.int32()), "total": sums})
+
+    each = dealt.select("text", "held_out", "_part").groupBy("_part").applyInArrow(run, "place int, total double")
+    model, found = MixingModel(cells[FOLDS], centres), each.groupBy("place").agg(F.sum("total").alias("total")).orderBy("place").collect()
+    if found:
+        sizes = [w.size for w in model.weights]
+        *sums, seen = np.split(np.array([r["total"] for r in found]), np.cumsum(sizes))
+        seen = seen.reshape(8, 16)
+        model.weights = [np.where(seen > 0, x.reshape(w.shape) / np.maximum(seen, 1), w).astype(np.float32) for x, w in zip(sums, model.weights)]
+    for x in shared:
+        x.destroy()
+    return model
 
 
 def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
@@ -479,22 +571,17 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
     count and are scored each; without rows, or without training rows, counts are zero and tables even."""
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", crc_mod(F.col("doc_id"), modulus) == held)
-    total, n_docs = d.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
-    n = max(n_shuffle(spark), -(-total // GROUP_BYTES))
+    total = d.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    n = max(n_shuffle(spark), -(-total // GROUP_BYTES), FOLDS)
     buckets = max(n_shuffle(spark), n // GROUPS_A_BUCKET)
-    dealt = d.withColumns({"_tune": F.pmod(F.xxhash64("doc_id"), F.lit(max(MIN_MODULUS, n_docs // MAX_TUNE))) == 0, "_part": part_of(F.col("doc_id"), n)})
-    tune = dealt.where(F.col("_tune") & ~F.col("held_out") & (F.length("text") < MAX_TUNE_CHARS)).orderBy(F.xxhash64("text"), "doc_id").limit(MAX_TUNE)
-    some = [(r["text"] or "").encode() for r in tune.select("text").collect()]
-    centres = cluster(some)
+    # texts lie with their groups on disk for the four passes over them, and are shuffled once
+    dealt = packed(d.withColumn("_part", part_of(F.col("doc_id"), n))).repartition(n, "_part").persist(StorageLevel.DISK_ONLY)
+    centres = kinds(dealt, n)
     counts = written(count(dealt, n, buckets, centres), "counts")
     sums = {r["kind"]: r for r in counts.where(F.col("kind").isin(TOKENS, UNITS)).groupBy("kind").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct")).collect()}
     n_train, n_distinct = (sums[TOKENS]["total"], sums[TOKENS]["distinct"]) if sums else (0, 0)
     n_units = sums[UNITS]["total"] if UNITS in sums else 0
-    before, after = build(counts)
-    model = MixingModel(before, centres)
-    model.learn(some)
-    model.cells = after
-    shared = spark.sparkContext.broadcast(model)  # of a fixed size
+    shared = spark.sparkContext.broadcast(learned(dealt, build(counts), centres))  # of a fixed size
 
     def finish(t: pa.Table, answers: pa.Table) -> pa.Table:
         kinds, blobs = answers.column("kind").to_pylist(), answers.column("payload").to_pylist()
@@ -509,7 +596,7 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
             at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
             return np.where(known[at] == hashes, c[at], 0).astype(np.int64) if len(known) else np.zeros(len(hashes), dtype=np.int64)
 
-        texts = [x or b"" for x in t.column("text").cast(pa.binary()).to_pylist()]
+        texts = _texts(t)
         n_tokens, n_known, logs, scores = (np.zeros(len(texts), dtype=k) for k in (np.int64, np.int64, float, float))
         for first, part in _byte_chunks(texts):
             given = Prepared(part, shared.value.centres)

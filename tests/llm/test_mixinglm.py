@@ -128,3 +128,25 @@ def test_whole_text_is_a_mix_of_experts():
 def test_held_out_score_beats_the_base(spark):
     r = mixinglm.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out").selectExpr("sum(score) as score", "sum(base_score) as base").first()
     assert r["score"] > r["base"]
+
+
+def test_mixer_and_kinds_learn_from_all_training_rows(spark):
+    """Also from long texts, and from all of many: none of these would have been picked as a tuning document before."""
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choice(x) for _ in range(5)) for _ in range(4000)) for x in ["abcd", "wxyz", "äöüß"] for _ in range(3)]
+    rows = [(i, t, i == 4, i % 5) for i, t in enumerate(texts)]
+    dealt = mixinglm.packed(spark.createDataFrame(rows, "doc_id long, text string, held_out boolean, _part int"))
+    centres = mixinglm.kinds(dealt, 5)
+    assert len(set(mixinglm.kinds_of([t.encode() for t in texts[::3]], centres))) == 3
+    cells = np.tile(np.random.default_rng(1).integers(0, 256, mixinglm._WIDE * mixinglm.SLICES).astype(np.uint8), (mixinglm.FOLDS + 1, 1))
+    model, fresh = mixinglm.learned(dealt, cells, centres), mixinglm.MixingModel(cells[-1], centres)
+    assert all((a != b).all() for a, b in zip(model.weights, fresh.weights))
+    without = mixinglm.learned(dealt.where("doc_id <> 8"), cells, centres)
+    assert all((a != b).any() for a, b in zip(model.weights, without.weights))
+    held = mixinglm.learned(dealt.where("doc_id <> 4"), cells, centres)
+    assert all(a == pytest.approx(b, rel=1e-5) for a, b in zip(model.weights, held.weights))
+
+
+def test_each_decision_of_a_text_teaches():
+    model, given = _model(b"to be or not to be that is the question " * 20)
+    assert model.learn([b"to be or not", b""]).sum() == 8 * (len(b"to be or not") + 2)
