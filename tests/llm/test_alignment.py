@@ -1,6 +1,7 @@
 """Alignment against a plain walk over both tokenisers' tokens."""
 
 import hashlib
+import random
 from collections import Counter
 
 import public_tokenizers
@@ -96,3 +97,19 @@ def test_a_group_that_repeats_ids_stays_small(spark):
     tokens = spark.createDataFrame([(1, [7] * 2000, a, packed(a), [9] * 2000, b, packed(b))], "doc_id long, " + alignment.TOKENS)
     r = alignment.links(alignment.cut(tokens)).first()
     assert r["n_links"] == 4_000_000 and r["pairs"] == [7 << 32 | 9] and [tuple(m) for m in r["more"]] == [(7 << 32 | 9, 3_999_999)]
+
+
+def test_a_repeated_stretch_is_aligned_once(spark):
+    """Ten thousand documents of the same few words: their tokens reach the alignment once for each of its rows, not for each document."""
+    d = spark.range(10_000).selectExpr("id as doc_id", "repeat('hello wörld, onesen  erblest ', 20) as text").coalesce(2)
+    rows = alignment.stretches(d).collect()
+    assert sum(len(r["texts"]) for r in rows) == 10_000 and len(rows) < 10 and all(0 < len(r["words"]) <= 4 for r in rows)
+    assert alignment.digests(d).groupBy("n_a", "n_links", "count_sum", "groups_sha256").count().collect()[0]["count"] == 10_000
+
+
+def test_stretches_between_all_kinds_of_spaces(spark):
+    """A stretch ends only where both tokenisers begin anew; also with each text by itself."""
+    rng = random.Random(3)
+    parts = [" ", " ", "  ", "   ", "\n", "\n ", " \n", "\t", "\r\n", "\u00a0", "\u3000", "\u0085", "\x1c", "\u200b", "'s", "'", "it", "12", "word", "é", "漢字", "▁", "\u0301", "🙂", ",", "<|endoftext|>", "<s>"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(600)]
+    check(table(spark, texts).repartition(3), together=0)
